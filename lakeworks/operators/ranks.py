@@ -16,12 +16,17 @@ IN_MEMORY_BYTES = 32 << 20
 
 
 def values_at(
-    df: DataFrame, groups: Sequence[str], value: str, positions: Callable[[Column], Sequence[Column]]
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    positions: Callable[[Column], Sequence[Column]],
+    interpolate: bool = True,
 ) -> DataFrame:
     """The values at given positions of each group's ascending order, one row per group and position.
 
     ``positions`` turns the group's row count into 0-based positions; a fractional one is interpolated
-    between its neighbours. Nulls do not count. Result: groups, ``position_no``, ``value``.
+    between its neighbours. Without interpolation positions are whole and the value keeps its type.
+    Nulls do not count. Result: groups, ``position_no``, ``value``.
 
     Equal values are folded to one row first. The folded rows are range-partitioned and written to the
     shared folder (partition numbers must not change between the two reads), the partition totals give
@@ -60,11 +65,10 @@ def values_at(
         .withColumn("w", F.explode("wanted"))
         .filter((F.col("w.rank") < F.col("_to")) & (F.col("w.rank") >= F.col("_to") - F.col("n")))
     )
-    # A whole position is listed twice with weight one; dividing by the weights covers both cases.
-    whole = F.max(value)
+    # A whole position is listed twice, with weight one each; dividing by the weights covers that.
     mixed = F.sum(F.col(value) * F.col("w.weight")) / F.sum("w.weight")
     result = found.groupBy(*keys, F.col("w.position_no").alias("position_no")).agg(
-        F.when(F.min("w.rank") == F.max("w.rank"), whole).otherwise(mixed).alias("value")
+        (mixed if interpolate else F.max(value)).alias("value")
     )
     return result if groups else result.drop("_all")
 
@@ -85,6 +89,6 @@ def positional_split(df: DataFrame, key: str, fraction: float = 0.7) -> DataFram
 
     A table has no order of its own, so a unique, non-null order key must be named.
     """
-    first_test = values_at(df, [], key, lambda n: [F.floor(n * F.lit(fraction))]).select("value")
-    boundary = first_test.scalar()
+    first_test = values_at(df, [], key, lambda n: [F.floor(n * F.lit(fraction))], interpolate=False)
+    boundary = first_test.select("value").scalar()
     return df.withColumn("is_train", F.coalesce(F.col(key) < boundary, F.lit(True)))

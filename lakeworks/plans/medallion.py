@@ -28,9 +28,6 @@ class Medallion:
     def stored(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(f"{self.layers[layer]}.{name}")
 
-    def has(self, layer: str, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.layers[layer]}.{name}")
-
     def _save(self, df: DataFrame, layer: str, name: str, same_schema: bool = False) -> DataFrame:
         write = lakehouse.save_same_schema if same_schema else lakehouse.save
         return write(df, f"{self.layers[layer]}.{name}")
@@ -97,6 +94,7 @@ def over_given_tables(spark: SparkSession, sf_dir: str) -> Medallion:
             tag = f"sf{len(_runs)}"
             run = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_")
             run.land({name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE})
+            run.land({"pitches": views.view(spark, sf_dir, "pitches")})
             run.bronze()
             run.silver()
             run.dimensions()

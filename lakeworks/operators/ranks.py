@@ -12,7 +12,7 @@ from lakeworks.session import durable, estimated_bytes, shuffle_partitions
 
 # Inputs up to this estimated size use Spark's exact percentile, which holds the distinct values of a
 # group in memory; anything larger, or of unknown size, is ranked across range partitions.
-IN_MEMORY_BYTES = 32 << 20
+IN_MEMORY_BYTES = 8 << 20
 
 
 def values_at(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeworks.plans.gold import lenient_date
@@ -14,32 +15,50 @@ DIMS = [*ORDER_DIMS, "product_id"]
 ALL = "ALL"
 
 
-def _subsets(columns: list[str]) -> list[tuple[str, ...]]:
-    return [kept for size in range(len(columns), -1, -1) for kept in combinations(columns, size)]
+def _roll_up(rows: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """Each row once per subset of the order dimensions, rolled-up ones null, with the subset's bits."""
+    subsets = F.explode(F.sequence(F.lit(0), F.lit(2 ** len(ORDER_DIMS) - 1)))
+    numbered = rows.withColumn("bits", subsets)
+    masks = {name: 2 ** (len(ORDER_DIMS) - 1 - i) for i, name in enumerate(ORDER_DIMS)}
+    return numbered.select(
+        "bits", *[F.when(F.col("bits").bitwiseAND(m) == 0, F.col(n)).alias(n) for n, m in masks.items()], *kept
+    )
 
 
-def _measures(df: DataFrame, sets: list[tuple[str, ...]], dims: list[str]) -> DataFrame:
-    """Grouping sets over rows that already carry revenue sums and line counts per order.
+def _all_subsets(folded: DataFrame, fixed: list[str]) -> DataFrame:
+    """Sums and distinct orders for the 16 subsets of the order dimensions, beside ``fixed`` columns.
 
-    The count keeps to one distinct column, which Spark evaluates in two steps spread by order.
+    ``folded`` has one row per (dimensions, order). An order that occurs once (per ``fixed`` value)
+    counts one in whatever group its row falls into, so its distinct count is a plain sum. Only orders
+    with several dimension values, which come from repeated order keys, are first folded per group.
+    Both branches read the same columns, so that Spark reuses the shuffled rows.
     """
+    spread = F.count(F.lit(1)).over(W.partitionBy("order_id", *fixed))
+    rows = folded.withColumn("variants", F.when(F.col("order_id").isNotNull(), spread).otherwise(0))
+    measures = [*fixed, "order_id", "revenue", "lines", "variants"]
+    plain = _roll_up(rows.filter("variants <= 1"), measures).withColumn("orders", F.col("variants")).drop("order_id", "variants")
+    repeated = (
+        _roll_up(rows.filter("variants > 1"), measures)
+        .groupBy("bits", *ORDER_DIMS, *fixed, "order_id")
+        .agg(F.sum("revenue").cast(folded.schema["revenue"].dataType).alias("revenue"), F.sum("lines").alias("lines"))
+        .withColumn("orders", F.lit(1).cast("long"))
+        .drop("order_id")
+    )
     lines = F.sum("lines")
-    # Same digits as avg over DECIMAL(p,2): scale six first, then two.
+    # Same digits as an average over DECIMAL(p,2): scale six first, then two.
     mean = F.try_divide(F.sum("revenue"), lines).cast("decimal(38,6)")
-    kept = [[F.col(name) for name in names] for names in sets]
-    return df.groupingSets(kept, *[F.col(name) for name in dims]).agg(
+    return plain.unionByName(repeated).groupBy("bits", *ORDER_DIMS, *fixed).agg(
         F.round(F.sum("revenue"), 2).alias("total_revenue_usd"),
-        F.countDistinct("order_id").alias("total_orders"),
+        F.sum("orders").alias("total_orders"),
         F.round(mean, 2).alias("avg_order_value"),
-        F.grouping_id().alias("grouping_id"),
     )
 
 
 def cube_numbers(fact: DataFrame) -> DataFrame:
     """All 32 grouping sets with null for a rolled-up dimension, and the grouping id.
 
-    Lines are first folded to one row per (dimensions, order). The 16 sets without product then start
-    from a second, smaller fold without the product column, so only the other 16 expand item rows.
+    Lines are first folded to one row per (dimensions, order). The 16 sets without product start from
+    a second, smaller fold without the product column, so only the other 16 multiply item rows.
     """
     day = lenient_date(F.col("order_date"))
     lines = fact.select(
@@ -51,10 +70,13 @@ def cube_numbers(fact: DataFrame) -> DataFrame:
     by_order = by_product.groupBy(*ORDER_DIMS, "order_id").agg(
         F.sum("revenue").cast("decimal(38,2)").alias("revenue"), F.sum("lines").alias("lines")
     )
-    detailed = _measures(by_product, [(*kept, "product_id") for kept in _subsets(ORDER_DIMS)], DIMS)
-    rolled = _measures(by_order, _subsets(ORDER_DIMS), ORDER_DIMS)
-    return detailed.unionByName(
-        rolled.withColumns({"product_id": F.lit(None).cast("string"), "grouping_id": F.col("grouping_id") * 2 + 1})
+    detailed = _all_subsets(by_product, ["product_id"]).withColumn("grouping_id", F.col("bits") * 2)
+    rolled = _all_subsets(by_order, []).withColumns(
+        {"product_id": F.lit(None).cast("string"), "grouping_id": F.col("bits") * 2 + 1}
+    )
+    both = detailed.unionByName(rolled)
+    return both.select(
+        *DIMS, "total_revenue_usd", "total_orders", "avg_order_value", F.col("grouping_id").cast("long").alias("grouping_id")
     )
 
 

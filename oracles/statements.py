@@ -81,7 +81,7 @@ SELECT label AS question_id, list(x ORDER BY i) AS question_vector FROM
 
 def _hits(k: int) -> str:
     return f"""
-SELECT * FROM (SELECT question_id, vec_id, distance, row_number() OVER (PARTITION BY question_id ORDER BY distance, vec_id) AS rank FROM
+SELECT * FROM (SELECT question_id, vec_id, distance, cast(row_number() OVER (PARTITION BY question_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM
  (SELECT question_id, vec_id, list_distance(cast(embedding AS DOUBLE[]), question_vector) ** 2 AS distance FROM embeddings, questions)) WHERE rank <= {k}
 """
 

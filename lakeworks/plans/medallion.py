@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +16,21 @@ from lakeworks.sources import lakehouse, views
 # Two silver tables keep their schema on rewrite, the others may change it.
 FIXED_SCHEMA = {"customers", "exchange_rates"}
 
+WRITERS = 5
+
 _runs: dict[tuple[str, str], "Medallion"] = {}
 _lock = Lock()
 
 
+def _together(names: Iterable[str], write: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """Independent writes submitted side by side, so that small tables do not queue behind large ones."""
+    names = list(names)
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(names, pool.map(write, names)))
+
+
 class Medallion:
-    """Builds and stores the layers on first use, in databases of their own."""
+    """Builds and stores the layers, in databases of their own."""
 
     def __init__(self, spark: SparkSession, folder: str, prefix: str = ""):
         self.spark = spark
@@ -32,32 +43,29 @@ class Medallion:
         write = lakehouse.save_same_schema if same_schema else lakehouse.save
         return write(df, f"{self.layers[layer]}.{name}")
 
-    def land(self, frames: dict[str, DataFrame]) -> None:
+    def land(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Store source tables as they arrive."""
-        for name, df in frames.items():
-            self._save(df, "source", name)
+        return _together(frames, lambda name: self._save(frames[name], "source", name))
 
-    def bronze(self, names: tuple[str, ...] = views.COMMERCE) -> dict[str, DataFrame]:
-        return lakehouse.ingest(self.spark, names, self.layers["source"], self.layers["bronze"])
+    def bronze(self, names: Iterable[str] = views.COMMERCE) -> dict[str, DataFrame]:
+        return _together(
+            names, lambda name: lakehouse.ingest(self.spark, name, self.layers["source"], self.layers["bronze"])
+        )
 
     def silver(self) -> dict[str, DataFrame]:
-        return {
-            name: self._save(
-                clean(self.stored("bronze", f"{name}_bronze")), "silver", f"silver_{name}", name in FIXED_SCHEMA
-            )
-            for name, clean in SILVER.items()
-        }
+        def write(name: str) -> DataFrame:
+            cleaned = SILVER[name](self.stored("bronze", f"{name}_bronze"))
+            return self._save(cleaned, "silver", f"silver_{name}", name in FIXED_SCHEMA)
+
+        return _together(SILVER, write)
 
     def dimensions(self) -> dict[str, DataFrame]:
-        return {
-            "dim_customers": self._save(
-                gold.dim_customers(self.stored("silver", "silver_customers")), "gold", "dim_customers"
-            ),
-            "dim_products": self._save(
-                gold.dim_products(self.stored("silver", "silver_products")), "gold", "dim_products"
-            ),
-            "dim_date": self._save(gold.dim_date(self.stored("silver", "silver_orders")), "gold", "dim_date"),
+        made = {
+            "dim_customers": gold.dim_customers(self.stored("silver", "silver_customers")),
+            "dim_products": gold.dim_products(self.stored("silver", "silver_products")),
+            "dim_date": gold.dim_date(self.stored("silver", "silver_orders")),
         }
+        return _together(made, lambda name: self._save(made[name], "gold", name))
 
     def fact(self) -> DataFrame:
         fact = gold.fact_orders(
@@ -70,8 +78,9 @@ class Medallion:
         return self._save(fact, "gold", "fact_orders")
 
     def kpis(self) -> dict[str, DataFrame]:
-        fact = self.stored("gold", "fact_orders")
-        return {name: self._save(kpi(fact), "gold", name) for name, kpi in kpis.KPIS.items()}
+        """The ten KPI tables, from six passes over the fact: two stored results serve several KPIs."""
+        fused = kpis.fused(self.stored("gold", "fact_orders"), lambda df, name: self._save(df, "gold", name))
+        return _together(fused, lambda name: self._save(fused[name], "gold", name))
 
     def cube(self) -> DataFrame:
         return self._save(cube.cube_sales(self.stored("gold", "fact_orders")), "gold", "cube_sales")
@@ -93,8 +102,8 @@ def over_given_tables(spark: SparkSession, sf_dir: str) -> Medallion:
         if key not in _runs:
             tag = f"sf{len(_runs)}"
             run = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_")
-            run.land({name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE})
-            run.land({"pitches": views.view(spark, sf_dir, "pitches")})
+            commerce = {name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE}
+            run.land({**commerce, "pitches": views.view(spark, sf_dir, "pitches")})
             run.bronze()
             run.silver()
             run.dimensions()

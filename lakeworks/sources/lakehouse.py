@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,11 +62,9 @@ def save_same_schema(df: DataFrame, table: str, fmt: str = "parquet") -> DataFra
     return save(df, table, fmt)
 
 
-def ingest(
-    spark: SparkSession, names: Iterable[str], source: str, target: str, fmt: str = "parquet"
-) -> dict[str, DataFrame]:
-    """Copy source tables to ``{name}_bronze`` with lineage columns."""
-    return {name: save(with_lineage(spark.table(f"{source}.{name}")), f"{target}.{name}_bronze", fmt) for name in names}
+def ingest(spark: SparkSession, name: str, source: str, target: str, fmt: str = "parquet") -> DataFrame:
+    """Copy one source table to ``{name}_bronze`` with lineage columns."""
+    return save(with_lineage(spark.table(f"{source}.{name}")), f"{target}.{name}_bronze", fmt)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -180,6 +180,14 @@ def test_kpis_on_an_empty_fact(spark, fact):
     assert one(kpis.total_revenue(empty)) is None and one(kpis.active_customers(empty)) == 0
 
 
+def test_fused_kpis_equal_the_single_ones(spark, fact):
+    for rows in (fact, fact.limit(0)):
+        fused = kpis.fused(rows, lambda df, name: df.cache())
+        for name, kpi in kpis.KPIS.items():
+            assert fused[name].schema.names == kpi(rows).schema.names
+            assert sorted(map(str, fused[name].collect())) == sorted(map(str, kpi(rows).collect())), name
+
+
 def test_top_products_is_a_bounded_top_k(spark, fact):
     plan = kpis.top_products(fact)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject(limit=5" in plan

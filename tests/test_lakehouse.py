@@ -19,7 +19,7 @@ def test_every_layer_is_stored(spark, run):
 
     assert names("bronze") == {f"{n}_bronze" for n in views.COMMERCE}
     assert names("silver") == {f"silver_{n}" for n in views.COMMERCE}
-    assert len(names("gold")) == 15 and {"fact_orders", "cube_sales", "dim_date", "kpi_aov"} <= names("gold")
+    assert len(names("gold")) == 17 and {"fact_orders", "cube_sales", "dim_date", "kpi_aov"} <= names("gold")
 
 
 def test_lineage_follows_rows(spark, run):

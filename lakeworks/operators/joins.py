@@ -1,17 +1,17 @@
-"""Left joins that stay even when one key holds a large share of the rows."""
+"""Left joins that stay even when one key holds a large share of the rows, on either side."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.session import estimated_bytes, shuffle_partitions
 
-# At most this many keys are ever treated as hot, so the hot list has a fixed size bound.
+# At most this many keys per side are treated as hot; the list is collected, so it has a fixed bound.
 HOT_KEYS = 64
 SKETCH_SIZE = 1024
 
-# A right side up to this estimated size is broadcast; beyond it the join shuffles with salt.
+# A right side up to this estimated size is broadcast; beyond it both sides are shuffled.
 BROADCAST_BYTES = 16 << 20
 
 SLOT = "_slot"
@@ -32,43 +32,78 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= BROADCAST_BYTES
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """(key, slots) for the keys that hold more than one partition's share, at most ``HOT_KEYS`` rows.
+def hot_keys(df: DataFrame, key: str, parts: int) -> dict:
+    """The keys that hold more than one partition's share of the rows, with the slots each needs.
 
-    One pass over the key column with a bounded sketch. A key needs as many slots as the partitions
-    its rows would fill. The list only steers the layout: the join is exact whatever it holds.
+    One pass over the key column with a bounded sketch. The result only steers the layout of a join,
+    which is exact whatever it holds.
     """
     sketch = df.agg(
         F.expr(f"approx_top_k({key}, {HOT_KEYS}, {SKETCH_SIZE})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    return (
-        sketch.select(F.explode("top").alias("top"), "rows")
-        .select(
-            F.col("top.item").alias(key),
-            F.ceil(F.col("top.count") * parts / F.col("rows")).cast("long").alias("slots"),
-        )
-        .filter(F.col(key).isNotNull() & (F.col("slots") > 1))
+        F.count(F.lit(1)).alias("n"),
     )
+    (found,) = sketch.collect()
+    slots = {entry["item"]: -(-entry["count"] * parts // found["n"]) for entry in found["top"] or []}
+    return {item: n for item, n in slots.items() if item is not None and n > 1}
+
+
+def _slots(key: str, hot: dict, nulls: int = 1) -> Column:
+    """Number of slots of each row's key: 1 for ordinary keys, ``nulls`` for null."""
+    slots = F.when(F.col(key).isNull(), F.lit(nulls))
+    for item, count in hot.items():
+        slots = slots.when(F.col(key) == item, F.lit(count))
+    return slots.otherwise(F.lit(1))
+
+
+def _every(slots: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), slots - 1))
+
+
+def _own(row: str, slots: Column) -> Column:
+    return F.pmod(F.col(row), slots).cast("int")
+
 
+def skew_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    parts: int | None = None,
+    hot_left: DataFrame | None = None,
+    hot_right: DataFrame | None = None,
+    unique_right: bool = False,
+) -> DataFrame:
+    """``left.join(right, key, "left")`` with hot and null keys spread over many tasks.
 
-def skew_left_join(left: DataFrame, right: DataFrame, key: str, parts: int | None = None) -> DataFrame:
-    """``left.join(right, key, "left")`` with hot and null keys of ``left`` spread over many tasks.
+    ``left`` carries a row slot. A ``right`` of checked small size is broadcast. Otherwise each left
+    row of a hot key takes one of the key's slots and the matching right rows are repeated per slot;
+    null keys match nothing and spread freely. Keys that are hot on the right certainly match, so they
+    go through an inner join in which each side is spread over its own slots and repeated over the
+    other's. No row is dropped and each pair meets once.
 
-    ``left`` carries a row slot. A ``right`` of checked small size is broadcast. Otherwise rows of a
-    hot key take one of the key's slots and the matching ``right`` rows are repeated once per slot;
-    null keys match nothing and spread freely. No row is dropped and no pair is lost.
+    ``hot_left`` and ``hot_right`` may name cheaper frames with about the same key distribution, whose
+    keys all occur in the side itself; ``unique_right`` tells that the right side
+    has no repeated keys.
     """
     if fits_broadcast(right):
         return left.join(F.broadcast(right), key, "left")
     parts = parts or shuffle_partitions(left.sparkSession)
-    hot = hot_keys(left, key, parts)
-    slots = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.coalesce("slots", F.lit(1)))
-    spread = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.col(SLOT), slots)).drop("slots")
-    repeated = (
-        right.filter(F.col(key).isNotNull())
-        .join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("slots", F.lit(1)) - 1)))
-        .drop("slots")
+    on_left = hot_keys(hot_left if hot_left is not None else left, key, parts)
+    on_right = {} if unique_right else hot_keys(hot_right if hot_right is not None else right, key, parts)
+    usable = right.filter(F.col(key).isNotNull())
+
+    def ordinary(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(key).isNull() | ~F.col(key).isin(list(on_right))) if on_right else df
+
+    spread = ordinary(left).withColumn("_a", _own(SLOT, _slots(key, on_left, nulls=parts)))
+    repeated = ordinary(usable).withColumn("_a", _every(_slots(key, on_left)))
+    joined = spread.join(repeated, [key, "_a"], "left").drop("_a")
+    if not on_right:
+        return joined
+
+    hot = F.col(key).isin(list(on_right))
+    grid_left = left.filter(hot).withColumn("_a", _own(SLOT, _slots(key, on_left))).withColumn("_b", _every(_slots(key, on_right)))
+    numbered = usable.filter(hot).withColumn("_row", F.monotonically_increasing_id())
+    grid_right = (
+        numbered.withColumn("_b", _own("_row", _slots(key, on_right))).drop("_row").withColumn("_a", _every(_slots(key, on_left)))
     )
-    return spread.join(repeated, [key, "_salt"], "left").drop("_salt")
+    return joined.unionByName(grid_left.join(grid_right, [key, "_a", "_b"]).drop("_a", "_b"))

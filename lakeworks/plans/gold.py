@@ -9,6 +9,8 @@ from lakeworks.operators.joins import SLOT, skew_left_join, with_row_slot
 
 COMPLETED = "completed"
 
+COPY_BLOCK = 10_000
+
 
 def lenient_date(text: Column) -> Column:
     """ISO date text to date; silver keeps unreadable text, which must not stop a gold job."""
@@ -29,6 +31,16 @@ def dim_date(orders: DataFrame) -> DataFrame:
     return dates.select("date", F.year("date").alias("year"), F.month("date").alias("month"), F.day("date").alias("day"))
 
 
+def _repeat(df: DataFrame, times: Column) -> DataFrame:
+    """Each row ``times`` times, unfolded in blocks so that no long array is ever held."""
+    blocks = F.sequence(F.lit(0), F.floor((times - 1) / COPY_BLOCK))
+    left_over = F.least(times - F.col("_block") * COPY_BLOCK, F.lit(COPY_BLOCK))
+    return (
+        df.withColumn("_block", F.explode(blocks))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), left_over)))
+    )
+
+
 def fact_orders(
     items: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame, rates: DataFrame
 ) -> DataFrame:
@@ -41,30 +53,25 @@ def fact_orders(
     orders; and the rates, which multiply rows, come last.
     """
     variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants"))
-    order_side = skew_left_join(
-        with_row_slot(
-            orders.select(
-                "order_id",
-                "customer_id",
-                "order_date",
-                F.col("standard_status").alias("status"),
-                F.col("country_code").alias("country"),
-                "channel",
-            )
-        ),
-        variants,
+    placed = orders.select(
+        "order_id",
         "customer_id",
-    ).drop(SLOT)
-    item_side = with_row_slot(items.select("order_id", "product_id", "quantity", "unit_price"))
-    ordered = skew_left_join(item_side, order_side, "order_id")
-    with_product = skew_left_join(ordered, products.select("product_id", "currency"), "product_id")
-    with_rate = skew_left_join(
-        with_product, rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd"), "currency"
+        "order_date",
+        F.col("standard_status").alias("status"),
+        F.col("country_code").alias("country"),
+        "channel",
     )
-    copies = F.when(F.col("variants") > 1, F.col("variants")).otherwise(F.lit(1))
+    order_side = skew_left_join(with_row_slot(placed), variants, "customer_id", unique_right=True).drop(SLOT)
+    lines = items.select("order_id", "product_id", "quantity", "unit_price")
+    ordered = skew_left_join(with_row_slot(lines), order_side, "order_id", hot_right=orders)
+    priced = products.select("product_id", "currency")
+    with_product = skew_left_join(ordered, priced, "product_id", hot_left=items)
+    per_currency = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd")
+    # Products show which currencies are common; counting over the joined lines would join them twice.
+    with_rate = skew_left_join(with_product, per_currency, "currency", hot_left=priced)
     usd = F.col("unit_price") * F.col("exchange_rate_to_usd")
     line = F.col("quantity") * F.col("unit_price") * F.col("exchange_rate_to_usd")
-    return with_rate.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(
+    return _repeat(with_rate, F.coalesce("variants", F.lit(1))).select(
         "order_id",
         "customer_id",
         "product_id",

@@ -68,22 +68,48 @@ def test_fact_repeats_rows_for_rates_and_variants_and_keeps_unmatched(spark, tab
     )
 
 
-def test_skewed_join_equals_a_plain_left_join(spark, monkeypatch):
+def keyed(spark, n, third, value):
+    """A third of the rows under one key, a third null, the rest under keys of their own."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, third).when(i % 3 == 1, F.lit(None)).otherwise(i.cast("string"))
+    return spark.range(n, numPartitions=4).select(key.alias("k"), i.alias(value))
+
+
+@pytest.mark.parametrize(
+    "left_third,right_third,n_right",
+    [("hot", "other", 3000), ("hot", "hot", 90), ("rare", "hot", 300), ("absent", "5", 300)],
+)
+def test_skewed_join_equals_a_plain_left_join(spark, monkeypatch, left_third, right_third, n_right):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    left = spark.range(6000, numPartitions=4).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").alias("v"),
-    )
-    right = spark.range(3000).select(F.when(F.col("id") < 3, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("w"))
+    left = keyed(spark, 900, left_third, "v").union(spark.createDataFrame([("hot", -1), ("other", -2)], "k string, v long"))
+    right = keyed(spark, n_right, right_third, "w")
     ours = joins.skew_left_join(joins.with_row_slot(left), right, "k", parts=16).select("k", "v", "w")
     plain = left.join(right, "k", "left").select("k", "v", "w")
     assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
 
 
-def test_hot_and_null_keys_are_spread(spark):
-    left = spark.range(9000, numPartitions=4).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    hot = {r.k: r.slots for r in joins.hot_keys(left, "k", 12).collect()}
-    assert hot == {"hot": 4}
+def test_hot_keys_get_slots_by_their_share(spark):
+    assert joins.hot_keys(keyed(spark, 9000, "hot", "v"), "k", 12) == {"hot": 4}
+    assert joins.hot_keys(keyed(spark, 9000, "hot", "v").limit(0), "k", 12) == {}
+
+
+def test_a_hot_key_leaves_in_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    left = keyed(spark, 9000, "hot", "v")
+    out = joins.skew_left_join(joins.with_row_slot(left), left.filter("k = 'hot'").limit(1).select("k"), "k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) <= 9000 / 3 and len(sizes) > 2
+
+
+def test_rows_are_repeated_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(gold, "COPY_BLOCK", 3)
+    df = spark.createDataFrame([(n,) for n in (1, 2, 3, 4, 6, 7)], "n long")
+    got = {r.n: r["count"] for r in gold._repeat(df, F.col("n")).groupBy("n").count().collect()}
+    assert got == {n: n for n in (1, 2, 3, 4, 6, 7)}
 
 
 def test_date_dimension_survives_unreadable_text(spark, tables):

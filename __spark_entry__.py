@@ -78,6 +78,19 @@ def schema_checked_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(lakehouse.save_same_schema(rows, table))
 
 
+def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row and column counts of the given tables."""
+    parts = []
+    for name in views.TABLES:
+        df = views.table(spark, sf_dir, name)
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns")
+            )
+        )
+    return _union(parts)
+
+
 # Silver and gold
 
 
@@ -113,6 +126,12 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from the stored silver tables and dimensions."""
+    run = medallion.over_given_tables(spark, sf_dir)
+    return _plain(run.fact_frame())
+
+
 def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.over_given_tables(spark, sf_dir).stored("gold", "fact_orders")
 
@@ -186,7 +205,14 @@ def topk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_hits(spark, sf_dir, retrieval.SOURCES_K), _six("distance"))
 
 
-def context_per_question(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topk_one_question(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors nearest to the mean of all, as one ordered top-k."""
+    vectors = _embeddings(spark, sf_dir)
+    (question,) = retrieval.topic_questions(vectors.withColumn("topic", F.lit(0)), "topic").collect()  # one vector
+    return _plain(retrieval.nearest_to(vectors, question["question_vector"]), _six("distance"))
+
+
+def context_per_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = views.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("text").alias("chunk_text")
     )
@@ -212,6 +238,7 @@ def queries() -> dict[str, Query]:
     return {
         "bronze_ingest": bronze_ingest,
         "source_lineage": source_lineage,
+        "table_shape": table_shape,
         "schema_checked_overwrite": schema_checked_overwrite,
         **{f"silver_{name}": _silver(name) for name in silver_plans.SILVER},
         "validity_summary": validity_summary,
@@ -219,7 +246,7 @@ def queries() -> dict[str, Query]:
         "dim_customers": _from_silver(gold.dim_customers, "customers"),
         "dim_products": _from_silver(gold.dim_products, "products"),
         "dim_date": _from_silver(gold.dim_date, "orders"),
-        "fact_orders": lambda spark, sf_dir: _plain(fact(spark, sf_dir)),
+        "fact_orders": fact_orders,
         "cube_sales": _on_fact(cube.cube_sales),
         "cube_sales_grouping_id": _on_fact(lambda f: cube.cube_sales(f, with_grouping_id=True)),
         **{name: _on_fact(kpi, shares.get(name)) for name, kpi in kpis.KPIS.items()},
@@ -244,6 +271,9 @@ def queries() -> dict[str, Query]:
         "ratio_by_outcome": _on_features(study.ratio_by_outcome, _six("success_ratio", "failure_ratio")),
         "hypothesis_summary": _on_features(study.hypothesis_summary, _six("measure")),
         "feature_correlation": _on_features(study.correlations),
+        "train_test_split": _on_features(
+            lambda f: inference.positional_split(f, "pitch_id").select("pitch_id", "is_train")
+        ),
         "ols_per_feature": _on_features(_ols_per_feature, dict.fromkeys(("slope", "intercept", "x_mean"), 4)),
         "ols_predict": _on_features(
             lambda f: inference.additive_predictions(f, *OLS, key="pitch_id"), {"prediction": 4}
@@ -261,7 +291,8 @@ def queries() -> dict[str, Query]:
         "chunk_fixed": chunk_fixed,
         "chunk_recursive": chunk_recursive,
         "topk_vectors": topk_vectors,
-        "context_per_question": context_per_question,
+        "topk_one_question": topk_one_question,
+        "context_per_query": context_per_query,
         "source_list": source_list,
     }
 

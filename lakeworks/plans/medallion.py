@@ -67,15 +67,17 @@ class Medallion:
         }
         return _together(made, lambda name: self._save(made[name], "gold", name))
 
-    def fact(self) -> DataFrame:
-        fact = gold.fact_orders(
+    def fact_frame(self) -> DataFrame:
+        return gold.fact_orders(
             self.stored("silver", "silver_order_items"),
             self.stored("silver", "silver_orders"),
             self.stored("gold", "dim_products"),
             self.stored("gold", "dim_customers"),
             self.stored("silver", "silver_exchange_rates"),
         )
-        return self._save(fact, "gold", "fact_orders")
+
+    def fact(self) -> DataFrame:
+        return self._save(self.fact_frame(), "gold", "fact_orders")
 
     def kpis(self) -> dict[str, DataFrame]:
         """The ten KPI tables, from six passes over the fact: two stored results serve several KPIs."""

@@ -337,8 +337,17 @@ def _replace(columns: tuple[str, ...]) -> str:
     return f"* REPLACE ({_money(*columns)})" if columns else "*"
 
 
+_WIDTHS = {
+    "region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+    "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4,
+}
+
+
 def statements() -> dict[str, str]:
     out = {
+        "table_shape": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, {n} AS n_columns FROM {t}" for t, n in _WIDTHS.items()
+        ),
         "bronze_ingest": _sql(
             " UNION ALL ".join(_content(name) for name in RULES), *[f"{name}_bronze" for name in RULES]
         ),
@@ -443,6 +452,7 @@ def statements() -> dict[str, str]:
         f"SELECT feature, correlation, CASE WHEN correlation >= 0 THEN 'positive' ELSE 'negative' END AS direction FROM ({_CORRELATED})",
         "features",
     )
+    out["train_test_split"] = _split("SELECT pitch_id, is_train FROM split")
     out["ols_per_feature"] = _split(f"SELECT feature, {_six('slope', 'intercept', 'x_mean').replace('6)', '4)')} FROM ({_OLS})")
     out["ols_predict"] = _split(_OLS_PREDICT)
     out["histogram_by_outcome"] = _sql(_histogram(_series(["exchangeforstake", "investment_ratio"]), "feature, deal"), "features")
@@ -469,7 +479,13 @@ SELECT doc_id, cast(i AS INTEGER) AS chunk_no, substring(text, cast(600 * i + 1
 FROM (SELECT doc_id, text, unnest(range(greatest(1, cast(ceil((length(text) - 100) / 600.0) AS BIGINT)))) AS i FROM documents WHERE length(text) > 0)
 """
     out["topk_vectors"] = _sql(f"SELECT question_id, vec_id, {_six('distance')}, rank FROM hits", "hits")
-    out["context_per_question"] = _sql(
+    out["topk_one_question"] = """
+SELECT vec_id, round(list_distance(cast(embedding AS DOUBLE[]), question) ** 2, 6) AS distance FROM embeddings,
+ (SELECT list(x ORDER BY i) AS question FROM (SELECT i, avg(x) AS x FROM
+  (SELECT unnest(cast(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i))
+ORDER BY list_distance(cast(embedding AS DOUBLE[]), question), vec_id LIMIT 3
+"""
+    out["context_per_query"] = _sql(
         "SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM context_hits JOIN documents ON doc_id = vec_id GROUP BY question_id",
         "context_hits",
     )

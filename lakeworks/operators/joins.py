@@ -32,19 +32,28 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= BROADCAST_BYTES
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> dict:
-    """The keys that hold more than one partition's share of the rows, with the slots each needs.
+class HotKeys:
+    """The keys of a frame that hold more than one partition's share of its rows.
 
-    One pass over the key column with a bounded sketch. The result only steers the layout of a join,
-    which is exact whatever it holds.
+    Found on first use, for all named columns in one pass with bounded sketches. The result only
+    steers the layout of a join, which is exact whatever it holds.
     """
-    sketch = df.agg(
-        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {SKETCH_SIZE})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    (found,) = sketch.collect()
-    slots = {entry["item"]: -(-entry["count"] * parts // found["n"]) for entry in found["top"] or []}
-    return {item: n for item, n in slots.items() if item is not None and n > 1}
+
+    def __init__(self, df: DataFrame, *keys: str, parts: int | None = None):
+        self._df, self._keys, self._found = df, keys, None
+        self._parts = parts or shuffle_partitions(df.sparkSession)
+
+    def of(self, key: str) -> dict:
+        """Hot key to the slots it needs."""
+        if self._found is None:
+            sketches = [F.expr(f"approx_top_k({k}, {HOT_KEYS}, {SKETCH_SIZE})").alias(k) for k in self._keys]
+            (row,) = self._df.agg(F.count(F.lit(1)).alias("_n"), *sketches).collect()
+            self._found = {k: self._shares(row[k], row["_n"]) for k in self._keys}
+        return self._found[key]
+
+    def _shares(self, top: list | None, rows: int) -> dict:
+        slots = {entry["item"]: -(-entry["count"] * self._parts // rows) for entry in top or []}
+        return {item: n for item, n in slots.items() if item is not None and n > 1}
 
 
 def _slots(key: str, hot: dict, nulls: int = 1) -> Column:
@@ -68,9 +77,11 @@ def skew_left_join(
     right: DataFrame,
     key: str,
     parts: int | None = None,
-    hot_left: DataFrame | None = None,
-    hot_right: DataFrame | None = None,
+    hot_left: HotKeys | None = None,
+    hot_right: HotKeys | None = None,
     unique_right: bool = False,
+    sized_by: DataFrame | None = None,
+    right_slot: str | None = None,
 ) -> DataFrame:
     """``left.join(right, key, "left")`` with hot and null keys spread over many tasks.
 
@@ -80,30 +91,38 @@ def skew_left_join(
     go through an inner join in which each side is spread over its own slots and repeated over the
     other's. No row is dropped and each pair meets once.
 
-    ``hot_left`` and ``hot_right`` may name cheaper frames with about the same key distribution, whose
-    keys all occur in the side itself; ``unique_right`` tells that the right side
-    has no repeated keys.
+    ``hot_left`` and ``hot_right`` may be taken from cheaper frames with about the same key
+    distribution; every key of ``hot_right`` must occur in ``right``. ``unique_right`` tells that the
+    right side has no repeated keys; ``sized_by`` is a stored frame at least as large as ``right``, for
+    a right side made by joins, whose size Spark overestimates. ``right_slot`` names a row number
+    taken when ``right`` was scanned; without it ``right`` must itself be read straight from storage.
     """
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), key, "left")
+    scanned = [right_slot] if right_slot else []
+    if fits_broadcast(sized_by if sized_by is not None else right):
+        return left.join(F.broadcast(right.drop(*scanned)), key, "left")
     parts = parts or shuffle_partitions(left.sparkSession)
-    on_left = hot_keys(hot_left if hot_left is not None else left, key, parts)
-    on_right = {} if unique_right else hot_keys(hot_right if hot_right is not None else right, key, parts)
+    on_left = (hot_left or HotKeys(left, key, parts=parts)).of(key)
+    on_right = {} if unique_right else (hot_right or HotKeys(right, key, parts=parts)).of(key)
     usable = right.filter(F.col(key).isNotNull())
 
     def ordinary(df: DataFrame) -> DataFrame:
         return df.filter(F.col(key).isNull() | ~F.col(key).isin(list(on_right))) if on_right else df
 
     spread = ordinary(left).withColumn("_a", _own(SLOT, _slots(key, on_left, nulls=parts)))
-    repeated = ordinary(usable).withColumn("_a", _every(_slots(key, on_left)))
+    repeated = ordinary(usable).drop(*scanned).withColumn("_a", _every(_slots(key, on_left)))
     joined = spread.join(repeated, [key, "_a"], "left").drop("_a")
     if not on_right:
         return joined
 
     hot = F.col(key).isin(list(on_right))
-    grid_left = left.filter(hot).withColumn("_a", _own(SLOT, _slots(key, on_left))).withColumn("_b", _every(_slots(key, on_right)))
-    numbered = usable.filter(hot).withColumn("_row", F.monotonically_increasing_id())
+    rows, columns = (_slots(key, found) for found in (on_left, on_right))
+    number = F.col(right_slot) if right_slot else F.monotonically_increasing_id()
+    grid_left = left.filter(hot).withColumn("_a", _own(SLOT, rows)).withColumn("_b", _every(columns))
     grid_right = (
-        numbered.withColumn("_b", _own("_row", _slots(key, on_right))).drop("_row").withColumn("_a", _every(_slots(key, on_left)))
+        usable.withColumn("_row", number)
+        .filter(hot)
+        .withColumn("_b", _own("_row", columns))
+        .withColumn("_a", _every(rows))
+        .drop("_row", *scanned)
     )
     return joined.unionByName(grid_left.join(grid_right, [key, "_a", "_b"]).drop("_a", "_b"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.operators.joins import SLOT, skew_left_join, with_row_slot
+from lakeworks.operators.joins import SLOT, HotKeys, skew_left_join, with_row_slot
 
 COMPLETED = "completed"
 
@@ -52,6 +52,7 @@ def fact_orders(
     the customer join needs only the number of variants and hangs on the order, so it is made on the
     orders; and the rates, which multiply rows, come last.
     """
+    item_keys, order_keys = HotKeys(items, "order_id", "product_id"), HotKeys(orders, "customer_id", "order_id")
     variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants"))
     placed = orders.select(
         "order_id",
@@ -61,14 +62,25 @@ def fact_orders(
         F.col("country_code").alias("country"),
         "channel",
     )
-    order_side = skew_left_join(with_row_slot(placed), variants, "customer_id", unique_right=True).drop(SLOT)
+    order_side = skew_left_join(
+        with_row_slot(placed), variants, "customer_id", hot_left=order_keys, unique_right=True
+    ).withColumnRenamed(SLOT, "_order_slot")
     lines = items.select("order_id", "product_id", "quantity", "unit_price")
-    ordered = skew_left_join(with_row_slot(lines), order_side, "order_id", hot_right=orders)
+    # One row per order row, with fewer columns: the stored orders bound its size.
+    ordered = skew_left_join(
+        with_row_slot(lines),
+        order_side,
+        "order_id",
+        hot_left=item_keys,
+        hot_right=order_keys,
+        sized_by=orders,
+        right_slot="_order_slot",
+    )
     priced = products.select("product_id", "currency")
-    with_product = skew_left_join(ordered, priced, "product_id", hot_left=items)
+    with_product = skew_left_join(ordered, priced, "product_id", hot_left=item_keys)
     per_currency = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd")
     # Products show which currencies are common; counting over the joined lines would join them twice.
-    with_rate = skew_left_join(with_product, per_currency, "currency", hot_left=priced)
+    with_rate = skew_left_join(with_product, per_currency, "currency", hot_left=HotKeys(priced, "currency"))
     usd = F.col("unit_price") * F.col("exchange_rate_to_usd")
     line = F.col("quantity") * F.col("unit_price") * F.col("exchange_rate_to_usd")
     return _repeat(with_rate, F.coalesce("variants", F.lit(1))).select(

@@ -75,6 +75,31 @@ def keyed(spark, n, third, value):
     return spark.range(n, numPartitions=4).select(key.alias("k"), i.alias(value))
 
 
+def test_fact_with_hot_orders_on_both_sides_equals_plain_joins(spark, tables, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    many = spark.range(60, numPartitions=3).select(
+        F.col("id").cast("string").alias("order_item_id"),
+        F.when(F.col("id") % 3 < 2, "o1").otherwise("o2").alias("order_id"),
+        F.lit("p1").alias("product_id"),
+        F.lit(d("2")).cast("decimal(9,2)").alias("quantity"),
+        F.lit(d("10.05")).cast("decimal(12,2)").alias("unit_price"),
+    )
+    repeated = tables["orders"]
+    for _ in range(3):
+        repeated = repeated.union(repeated.filter("order_id = 'o1'"))
+    items = tables["items"].union(many)
+    ours = gold.fact_orders(**{**tables, "items": items, "orders": repeated})
+    joined = (
+        items.join(repeated, "order_id", "left")
+        .join(tables["products"].select("product_id", "currency"), "product_id", "left")
+        .join(tables["customers"].select("customer_id"), "customer_id", "left")
+        .join(tables["rates"].withColumnRenamed("currency_code", "currency"), "currency", "left")
+    )
+    assert ours.count() == joined.count() > 1000
+    keys = ["order_id", "customer_id", "product_id"]
+    assert joined.select(keys).exceptAll(ours.select(keys)).count() == 0
+
+
 @pytest.mark.parametrize(
     "left_third,right_third,n_right",
     [("hot", "other", 3000), ("hot", "hot", 90), ("rare", "hot", 300), ("absent", "5", 300)],
@@ -83,14 +108,19 @@ def test_skewed_join_equals_a_plain_left_join(spark, monkeypatch, left_third, ri
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     left = keyed(spark, 900, left_third, "v").union(spark.createDataFrame([("hot", -1), ("other", -2)], "k string, v long"))
     right = keyed(spark, n_right, right_third, "w")
-    ours = joins.skew_left_join(joins.with_row_slot(left), right, "k", parts=16).select("k", "v", "w")
     plain = left.join(right, "k", "left").select("k", "v", "w")
-    assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
+    for numbered, slot in ((right, None), (right.withColumn("n", F.monotonically_increasing_id()), "n")):
+        joined = joins.skew_left_join(joins.with_row_slot(left), numbered, "k", parts=16, right_slot=slot)
+        assert set(joined.columns) == {"k", "v", "w", joins.SLOT}
+        ours = joined.select("k", "v", "w")
+        assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
 
 
 def test_hot_keys_get_slots_by_their_share(spark):
-    assert joins.hot_keys(keyed(spark, 9000, "hot", "v"), "k", 12) == {"hot": 4}
-    assert joins.hot_keys(keyed(spark, 9000, "hot", "v").limit(0), "k", 12) == {}
+    rows = keyed(spark, 9000, "hot", "v").withColumn("c", F.col("v") % 2)
+    found = joins.HotKeys(rows, "k", "c", parts=12)
+    assert found.of("k") == {"hot": 4} and found.of("c") == {0: 6, 1: 6}
+    assert joins.HotKeys(rows.limit(0), "k", parts=12).of("k") == {}
 
 
 def test_a_hot_key_leaves_in_many_partitions(spark, monkeypatch):

@@ -59,6 +59,15 @@ def _calendar_date(year: Column, month: Column, day: Column) -> Column:
     return F.concat_ws("-", year, month, day).try_cast("date")
 
 
+def _is_iso(text: Column) -> Column:
+    return text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z")
+
+
+def iso_date(text: Column) -> Column:
+    """ISO date text to date, null where it is not one; the plain shape is cast, see ``parse_date``."""
+    return F.when(_is_iso(text), text.try_cast("date")).otherwise(F.try_to_date(text, "yyyy-MM-dd"))
+
+
 def parse_date(text: Column) -> Column:
     """The date read by the first pattern of ``DATE_PATTERNS`` that fits, or null.
 
@@ -70,7 +79,7 @@ def parse_date(text: Column) -> Column:
     month_first = F.coalesce(_calendar_date(last, first, second), _calendar_date(last, second, first))
     return (
         F.when(text.rlike(r"\A[0-9]{2}([/-])[0-9]{2}\1[0-9]{4}\z"), month_first)
-        .when(text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
+        .when(_is_iso(text), text.try_cast("date"))
         .otherwise(F.coalesce(*[F.try_to_date(text, pattern) for pattern in DATE_PATTERNS]))
     )
 

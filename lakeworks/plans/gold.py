@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.functions.quality import iso_date
 from lakeworks.operators.joins import SLOT, HotKeys, skew_left_join, with_row_slot
 
 COMPLETED = "completed"
@@ -12,11 +13,6 @@ COMPLETED = "completed"
 COPY_BLOCK = 10_000
 
 
-def lenient_date(text: Column) -> Column:
-    """ISO date text to date; silver keeps unreadable text, which must not stop a gold job."""
-    return F.try_to_date(text, "yyyy-MM-dd")
-
-
 def dim_customers(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", "customer_name", "email", "country_code").distinct()
 
@@ -26,8 +22,11 @@ def dim_products(products: DataFrame) -> DataFrame:
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
-    """One row per order date, with its parts; the distinct runs on the text, before any parsing."""
-    dates = orders.select("order_date").distinct().select(lenient_date(F.col("order_date")).alias("date")).distinct()
+    """One row per order date, with its parts; the distinct runs on the text, before any parsing.
+
+    Silver keeps unreadable text, which reads as one null date here and must not stop the job.
+    """
+    dates = orders.select("order_date").distinct().select(iso_date(F.col("order_date")).alias("date")).distinct()
     return dates.select("date", F.year("date").alias("year"), F.month("date").alias("month"), F.day("date").alias("day"))
 
 

@@ -9,7 +9,7 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeworks.plans import cube, gold, kpis
-from lakeworks.plans.silver import SILVER
+from lakeworks.plans.silver import SILVER, SOURCE_TYPES
 from lakeworks.session import work_folder
 from lakeworks.sources import lakehouse, views
 
@@ -48,8 +48,9 @@ class Medallion:
         return _together(frames, lambda name: self._save(frames[name], "source", name))
 
     def bronze(self, names: Iterable[str] = views.COMMERCE) -> dict[str, DataFrame]:
+        source, target = self.layers["source"], self.layers["bronze"]
         return _together(
-            names, lambda name: lakehouse.ingest(self.spark, name, self.layers["source"], self.layers["bronze"])
+            names, lambda name: lakehouse.ingest(self.spark, name, source, target, SOURCE_TYPES.get(name))
         )
 
     def silver(self) -> dict[str, DataFrame]:

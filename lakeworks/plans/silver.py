@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions import quality as q
 
+# Numbers are typed at ingest: arithmetic on text fails, and sums of doubles depend on row order.
+SOURCE_TYPES = {
+    "orders": {"total_amount": "decimal(12,2)"},
+    "order_items": {"quantity": "decimal(9,2)", "unit_price": "decimal(12,2)", "line_total": "decimal(18,2)"},
+    "products": {"price": "decimal(12,2)"},
+    "exchange_rates": {"exchange_rate_to_usd": "decimal(9,4)"},
+}
+
 LINEAGE = ("_modified", "ingested_at")
 
 

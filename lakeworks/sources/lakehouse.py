@@ -41,7 +41,8 @@ def with_lineage(scan: DataFrame) -> DataFrame:
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns at ingest; a value that does not fit becomes null, not an error."""
-    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items() if name in df.columns})
+    casts = {name: F.col(name).try_cast(kind) for name, kind in types.items() if name in df.columns}
+    return df.withColumns(casts) if casts else df
 
 
 def save(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
@@ -62,9 +63,17 @@ def save_same_schema(df: DataFrame, table: str, fmt: str = "parquet") -> DataFra
     return save(df, table, fmt)
 
 
-def ingest(spark: SparkSession, name: str, source: str, target: str, fmt: str = "parquet") -> DataFrame:
-    """Copy one source table to ``{name}_bronze`` with lineage columns."""
-    return save(with_lineage(spark.table(f"{source}.{name}")), f"{target}.{name}_bronze", fmt)
+def ingest(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    target: str,
+    types: Mapping[str, str] | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Copy one source table to ``{name}_bronze`` with lineage columns and the given number types."""
+    rows = with_lineage(spark.table(f"{source}.{name}"))
+    return save(typed(rows, types or {}), f"{target}.{name}_bronze", fmt)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks.plans import cube, kpis, silver
 from lakeworks.plans.medallion import Medallion
 from lakeworks.sources import lakehouse, views
 
@@ -67,3 +68,38 @@ def test_typed_ingest_nulls_what_does_not_fit(spark):
     df = spark.createDataFrame([("1.25",), ("x",)], "price string")
     rows = lakehouse.typed(df, {"price": "decimal(12,2)", "absent": "int"}).collect()
     assert [str(r.price) for r in rows] == ["1.25", "None"]
+
+
+def test_ingest_types_numbers_given_as_text(spark, tmp_path):
+    run = Medallion(spark, str(tmp_path), "t_text_")
+    rows = spark.createDataFrame([("EUR", "1.10", "2024-01-01"), ("USD", "?", "2024-01-01")], "currency_code string, exchange_rate_to_usd string, effective_date string")
+    run.land({"exchange_rates": rows})
+    stored = run.bronze(["exchange_rates"])["exchange_rates"]
+    assert ("exchange_rate_to_usd", "decimal(9,4)") in lakehouse.column_types(stored)
+    assert sorted(str(r.exchange_rate_to_usd) for r in stored.collect()) == ["1.1000", "None"]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_filters_and_columns_reach_the_scan(spark, run):
+    scan = final_plan(kpis.completed_orders(run.stored("gold", "fact_orders")))
+    assert "ReadSchema: struct<order_id:string,status:string>" in scan
+    assert "EqualTo(status,completed)" in scan
+    cleaned = final_plan(silver.silver_orders(run.stored("bronze", "orders_bronze")))
+    assert "PushedFilters: [IsNotNull(order_id)]" in cleaned and "source_file" not in cleaned
+    assert "BroadcastHashJoin" in cleaned and "Exchange hashpartitioning" not in cleaned
+
+
+def test_cube_reads_the_fact_once(spark, run):
+    sums = [F.sum(c) for c in ("total_orders", "total_revenue_usd", "avg_order_value")]
+    plan = final_plan(cube.cube_sales(run.stored("gold", "fact_orders")).agg(*sums))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_global_kpis_shuffle_single_rows_only(spark, run):
+    fact = run.stored("gold", "fact_orders")
+    for kpi in (kpis.total_revenue, kpis.data_quality):
+        assert "hashpartitioning" not in final_plan(kpi(fact))

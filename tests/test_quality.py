@@ -29,8 +29,9 @@ def test_dates_agree_with_trying_each_pattern(spark):
     ]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, d string")
     tried = F.coalesce(*[F.try_to_date("d", p) for p in q.DATE_PATTERNS])
-    rows = df.select("d", q.parse_date(F.col("d")).cast("string").alias("ours"), tried.cast("string").alias("tried")).collect()
-    assert [(r.d, r.ours) for r in rows] == [(r.d, r.tried) for r in rows]
+    for ours, plain in ((q.parse_date, tried), (q.iso_date, F.try_to_date("d", "yyyy-MM-dd"))):
+        rows = df.select("d", ours(F.col("d")).cast("string").alias("ours"), plain.cast("string").alias("plain")).collect()
+        assert [(r.d, r.ours) for r in rows] == [(r.d, r.plain) for r in rows]
 
 
 def test_ambiguous_day_reads_month_first_and_garbage_stays(spark):

@@ -87,6 +87,14 @@ def test_article_records(spark):
     assert rows[0].metadata.source == "https://pubmed.ncbi.nlm.nih.gov/7/" and rows[0].metadata.title == "t"
 
 
+def test_article_metadata_travels_to_every_chunk(spark):
+    records = spark.createDataFrame([(7, "t", ["one " * 200, "two " * 200])], "pmid long, title string, abstract array<string>")
+    rows = chunking.split_documents(retrieval.article_documents(records)).collect()
+    assert len(rows) > 1 and {(r.pmid, r.metadata.title, r.metadata.source) for r in rows} == {
+        (7, "t", "https://pubmed.ncbi.nlm.nih.gov/7/")
+    }
+
+
 @pytest.fixture(scope="module")
 def vectors(spark, small):
     return views.table(spark, small, "embeddings")

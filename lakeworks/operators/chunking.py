@@ -87,7 +87,9 @@ def recursive_chunks(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
         held += len(piece)
 
 
-def split_documents(docs: DataFrame, text: str = "page_content", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+def split_documents(
+    docs: DataFrame, text: str = "page_content", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+) -> DataFrame:
     """One row per recursive chunk; every other column is carried to each of its chunks.
 
     The packing keeps state along a text, which no built-in expression does, so this is the one stage

@@ -147,7 +147,7 @@ def range_verdicts(extremes: Mapping[str, DataFrame], always: Sequence[str] = ()
             "max_rate",
             "min_rate",
             "rate_range",
-            (F.lit(True) if name in always else F.coalesce(F.col("rate_range") > RANGE_POINTS, F.lit(False))).alias("significant"),
+            F.coalesce(F.lit(name in always) | (F.col("rate_range") > RANGE_POINTS), F.lit(False)).alias("significant"),
         )
         for name, df in extremes.items()
     ]

@@ -54,7 +54,9 @@ def _pairs(vectors: DataFrame, questions: DataFrame) -> DataFrame:
     return spread.join(repeated.withColumn("_block", F.col("_block").cast("long")), "_block").drop("_block")
 
 
-def nearest(vectors: DataFrame, questions: DataFrame, k: int = SOURCES_K, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(
+    vectors: DataFrame, questions: DataFrame, k: int = SOURCES_K, key: str = "vec_id", vector: str = "embedding"
+) -> DataFrame:
     """The k nearest vectors per question: question_id, key, distance, rank.
 
     Exact. Only (question, key, distance) leaves a task, and Spark keeps the best k per question
@@ -66,7 +68,9 @@ def nearest(vectors: DataFrame, questions: DataFrame, k: int = SOURCES_K, key: s
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def nearest_to(vectors: DataFrame, question: list[float], k: int = SOURCES_K, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest_to(
+    vectors: DataFrame, question: list[float], k: int = SOURCES_K, key: str = "vec_id", vector: str = "embedding"
+) -> DataFrame:
     """The k nearest vectors of one question vector, as an ordered top-k."""
     distance = squared_distance(F.col(vector), F.array(*[F.lit(float(x)) for x in question]))
     return vectors.select(key, distance.alias("distance")).orderBy("distance", key).limit(k)

@@ -36,7 +36,7 @@ def _all_subsets(folded: DataFrame, fixed: list[str]) -> DataFrame:
     spread = F.count(F.lit(1)).over(W.partitionBy("order_id", *fixed))
     rows = folded.withColumn("variants", F.when(F.col("order_id").isNotNull(), spread).otherwise(0))
     measures = [*fixed, "order_id", "revenue", "lines", "variants"]
-    plain = _roll_up(rows.filter("variants <= 1"), measures).withColumn("orders", F.col("variants")).drop("order_id", "variants")
+    plain = _roll_up(rows.filter("variants <= 1"), measures).drop("order_id").withColumnRenamed("variants", "orders")
     repeated = (
         _roll_up(rows.filter("variants > 1"), measures)
         .groupBy("bits", *ORDER_DIMS, *fixed, "order_id")
@@ -62,7 +62,9 @@ def cube_numbers(fact: DataFrame) -> DataFrame:
     """
     day = iso_date(F.col("order_date"))
     lines = fact.select(
-        F.year(day).alias("year"), F.month(day).alias("month"), "country", "channel", "product_id", "order_id", "revenue_usd"
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        *["country", "channel", "product_id", "order_id", "revenue_usd"],
     )
     by_product = lines.groupBy(*DIMS, "order_id").agg(
         F.sum("revenue_usd").alias("revenue"), F.count("revenue_usd").alias("lines")

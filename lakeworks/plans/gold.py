@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.functions.quality import iso_date
-from lakeworks.operators.joins import SLOT, HotKeys, skew_left_join, with_row_slot
+from lakeworks.operators.joins import SLOT, HotKeys, fits_broadcast, skew_left_join, with_row_slot
 
 COMPLETED = "completed"
 
@@ -49,7 +49,7 @@ def fact_orders(
     currency and several variants of a customer repeat the row. Conversion follows the product's
     currency. Two choices keep the shuffles of the wide item rows down to two (order, product):
     the customer join needs only the number of variants and hangs on the order, so it is made on the
-    orders; and the rates, which multiply rows, come last.
+    orders; and the rates, which multiply rows, come last, as a broadcast of checked size.
     """
     item_keys, order_keys = HotKeys(items, "order_id", "product_id"), HotKeys(orders, "customer_id", "order_id")
     variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants"))
@@ -76,10 +76,20 @@ def fact_orders(
         right_slot="_order_slot",
     )
     priced = products.select("product_id", "currency")
-    with_product = skew_left_join(ordered, priced, "product_id", hot_left=item_keys)
     per_currency = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd")
-    # Products show which currencies are common; counting over the joined lines would join them twice.
-    with_rate = skew_left_join(with_product, per_currency, "currency", hot_left=HotKeys(priced, "currency"))
+    few_rates = fits_broadcast(per_currency)
+    if not few_rates:
+        # Few currencies share many rates: pair them with the products, not with the wider item rows.
+        priced = skew_left_join(with_row_slot(priced), per_currency, "currency").withColumnRenamed(SLOT, "_product_slot")
+    with_product = skew_left_join(
+        ordered,
+        priced,
+        "product_id",
+        hot_left=item_keys,
+        hot_right=HotKeys(products, "product_id"),
+        right_slot=None if few_rates else "_product_slot",
+    )
+    with_rate = with_product.join(F.broadcast(per_currency), "currency", "left") if few_rates else with_product
     usd = F.col("unit_price") * F.col("exchange_rate_to_usd")
     line = F.col("quantity") * F.col("unit_price") * F.col("exchange_rate_to_usd")
     return _repeat(with_rate, F.coalesce("variants", F.lit(1))).select(

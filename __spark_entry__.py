@@ -16,6 +16,14 @@ from lakeworks.session import work_folder
 from lakeworks.sources import lakehouse, views
 from oracles import statements
 
+try:  # the subpackage and the pipeline may be absent; anything else missing is an error
+    import corpus_pipeline  # noqa: F401
+    from lakeworks.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("lakeworks.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -294,8 +302,9 @@ def queries() -> dict[str, Query]:
         "topk_one_question": topk_one_question,
         "context_per_query": context_per_query,
         "source_list": source_list,
+        **(llm.QUERIES if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements.statements()
+    return {**statements.statements(), **(llm.ORACLES if llm else {})}

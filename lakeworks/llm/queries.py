@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import licenses, neighbours, packing, quality, sharding, toxicity
+from lakeworks.llm import licenses, linededup, neighbours, packing, quality, sharding, simhash, toxicity
 from lakeworks.llm.common import table
 
 SHARDS = 24
@@ -29,6 +29,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +45,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.length("text").alias("kept_chars"), F.crc32("text").alias("kept_crc32"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(
         table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, NEIGHBOURS
@@ -56,8 +66,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_simhash": op2_simhash,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op7_lines": op7_lines,
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,

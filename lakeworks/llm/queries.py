@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import licenses, linededup, neighbours, packing, quality, sharding, simhash, toxicity
+from lakeworks.llm import decontaminate, licenses, linededup, neighbours, packing, quality, sharding, simhash, toxicity
 from lakeworks.llm.common import table
 
 SHARDS = 24
@@ -34,6 +34,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -67,6 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op7_lines": op7_lines,

@@ -60,15 +60,16 @@ _POWERS = np.asarray([1 << i for i in range(64)], dtype=object)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long)."""
+    """doc_id, mark (a hash of the text, to tell rows with one id apart), fp (the fingerprint's bits as a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            bits = np.asarray([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], names=["doc_id", "fp"])
+            bits = np.asarray([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            columns = [batch.column(0), batch.column(1), pa.array(bits.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "fp"])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark long, fp long")
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -269,7 +270,7 @@ def _verify(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp, component_id (smallest id that links reach)."""
+    """doc_id, mark, fp, component_id (smallest id that links reach)."""
     rows = stored(fingerprints(docs, key, text, shingle))
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, limit))
@@ -277,7 +278,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(placed.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    whole = placed.join(ids, "root").select("fp", F.col("root").alias("component"), "component_id")
+    return rows.join(whole, "fp").select("doc_id", "mark", "fp", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group with all its columns: the smallest id (null last), then the smallest text hash."""
+    last = F.lit((1 << 63) - 1)
+    groups = near_duplicates(docs.select(key, text), key, text)
+    ident = F.struct(F.coalesce(F.col("doc_id").cast("long"), last).alias("_id"), F.col("mark").alias("_mark"))
+    heads = groups.groupBy("component").agg(F.min(ident).alias("head")).select("head.*")
+    rows = docs.withColumns({"_id": F.coalesce(F.col(key).cast("long"), last), "_mark": F.xxhash64(text)})
+    return rows.join(heads, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select(*docs.columns)
 
 
 def hex_digits(fp: Column) -> Column:

@@ -17,7 +17,7 @@ from lakeworks.sources import lakehouse, views
 from oracles import statements
 
 try:  # the subpackage and the pipeline may be absent; anything else missing is an error
-    import corpus_pipeline  # noqa: F401
+    import corpus_pipeline
     from lakeworks.llm import queries as llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("lakeworks.llm", "corpus_pipeline"):
@@ -302,7 +302,7 @@ def queries() -> dict[str, Query]:
         "topk_one_question": topk_one_question,
         "context_per_query": context_per_query,
         "source_list": source_list,
-        **(llm.QUERIES if llm else {}),
+        **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import decontaminate, licenses, linededup, neighbours, packing, quality, sharding, simhash, toxicity
+from lakeworks.llm import decontaminate, licenses, linededup, neighbours, packing, quality, sharding, simhash, substrings, toxicity
 from lakeworks.llm.common import table
 
 SHARDS = 24
@@ -49,6 +49,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    n_spans = (F.size("bounds") / 2).cast("long").alias("n_spans")
+    return rows.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.length("text").alias("kept_chars"), F.crc32("text").alias("kept_crc32"))
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_substrings": op6_substrings,
     "op7_lines": op7_lines,
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,

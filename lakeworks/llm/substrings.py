@@ -31,7 +31,7 @@ from lakeworks.session import shuffle_partitions
 LENGTH, GRAM = 200, 32
 BEFORE = LENGTH - GRAM
 CHUNK = 1 << 19
-SAMPLE_TEXTS, MANY = 20_000, 200
+SAMPLE_TEXTS, MANY_ROWS = 5_000, 100_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -109,6 +109,20 @@ def _prefix(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray
     return np.minimum(common, np.minimum(size_a, size_b))
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Common-prefix length of two strings, by halving."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
 def _table(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.asarray([len(s) for s in strings], dtype=np.int64)
     joined = b"".join(s.ljust(width, b"\0") for s in strings)
@@ -136,6 +150,10 @@ def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: i
     ``left`` holds what precedes each anchor, read backwards; ``right`` what begins at it.
     """
     before = length - gram
+    if len(right) == 2:  # a tree of two leaves
+        extend, reach = _common(*left), _common(*right)
+        found = reach >= gram and extend + reach >= length
+        return [(i, extend, reach) for i in (0, 1)] if found else []
     order = sorted(range(len(right)), key=lambda i: right[i])
     r_table, r_size = _table([right[i] for i in order], length)
     l_table, l_size = _table([left[i] for i in order], before)
@@ -293,12 +311,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent_grams(rows: DataFrame) -> list[int]:
-    """K-grams in so many of a sample of texts that one task would get a large share of them; for the layout only."""
+    """K-grams that, going by a sample of texts, stand in more than MANY_ROWS texts; for the layout only."""
     n = rows.count()
-    part = rows.sample(min(1.0, SAMPLE_TEXTS / max(1, n)), seed=0)
+    share = min(1.0, SAMPLE_TEXTS / max(1, n))
+    if n <= MANY_ROWS:
+        return []
+    part = rows.sample(share, seed=0)
     found = part.mapInArrow(_anchor_rows, "gram long, around long, k1 long, k2 long, place long")
-    limit = max(MANY, 2 * SAMPLE_TEXTS // shuffle_partitions(rows.sparkSession) // 8)
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= limit)
+    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(2.0, MANY_ROWS * share))
     return [r["gram"] for r in often.orderBy(F.desc("n")).limit(1000).collect()]
 
 

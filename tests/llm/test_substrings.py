@@ -50,8 +50,6 @@ def corpus(seed):
 
 @pytest.mark.parametrize(("seed", "many"), [(0, 10**9), (1, 10**9), (2, 5)])
 def test_spans_match_brute_force(spark, monkeypatch, seed, many):
-    monkeypatch.setattr(substrings, "MANY", many)
-    monkeypatch.setattr(substrings, "SAMPLE_TEXTS", 20_000 if many > 10**6 else 40)
     texts = corpus(seed)
     if many < 10:
         monkeypatch.setattr(substrings, "_frequent_grams", lambda rows: [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SMOKE_DIR = "/root/testdata/sf0.001"
+SMOKE_DIR = os.environ.get("SMOKE_DIR", "/root/testdata/sf0.001")
 
 
 def _plain(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
@@ -267,7 +268,8 @@ def queries() -> dict[str, Query]:
             lambda raw: profile.describe(raw, study.NUMERIC), {**_six("mean", "q25", "q50", "q75"), "std": 4}
         ),
         "value_counts_deal": _on_pitches(lambda raw: profile.class_shares(study.clean(raw), "deal")),
-        "overall_rate": _on_pitches(lambda raw: profile.overall_rate(study.clean(raw), "deal")),
+        "value_counts_raw": _on_pitches(lambda raw: profile.class_shares(raw, "deal")),
+        "overall_rate": _on_pitches(lambda raw: profile.overall_rate(raw.withColumn("deal", study.flag_from_text(F.col("deal"))), "deal")),
         "rate_by_category": _on_features(study.category_rates, _six("deal_rate")),
         "top_categories": _on_features(lambda f: profile.top_rates(f, "category", "deal"), _six("deal_rate")),
         "rate_by_season": _on_features(study.season_rates),

@@ -42,14 +42,14 @@ def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = BINS
     step_on = ((F.col("guess") < bins - 1) & (F.col(value) >= _edge(F.col("guess") + 1, bins))).cast("int")
     counts = (
         rows.select(*keys, value)
-        .join(F.broadcast(spans), keys)
+        .join(spans, keys)
         .withColumn("guess", guess)
         .groupBy(*keys, (F.col("guess") - step_back + step_on).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     grid = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     # At most ``bins`` rows per series on either side.
-    return grid.join(F.broadcast(counts), [*keys, "bin"], "left").select(
+    return grid.join(counts, [*keys, "bin"], "left").select(
         *keys,
         (F.col("bin") + 1).alias("bin"),
         _edge(F.col("bin"), bins).alias("lower_edge"),
@@ -59,7 +59,7 @@ def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = BINS
 
 
 def _with_fences(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:
-    """Rows with their series' quartiles and fences; one broadcast row per series."""
+    """Rows with their series' quartiles and fences; one row per series to join with."""
     cuts = quantiles(df, series, value, [0.25, 0.5, 0.75])
     q1, q2, q3 = (F.col("quantiles")[i] for i in range(3))
     reach = WHISKER * (q3 - q1)
@@ -71,7 +71,7 @@ def _with_fences(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:
         (q1 - reach).alias("low_fence"),
         (q3 + reach).alias("high_fence"),
     )
-    return df.filter(F.col(value).isNotNull()).join(F.broadcast(fences), list(series))
+    return df.filter(F.col(value).isNotNull()).join(fences, list(series))
 
 
 def box_numbers(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from lakeworks.session import estimated_bytes, shuffle_partitions
 
-# At most this many keys per side are treated as hot; the list is collected, so it has a fixed bound.
-HOT_KEYS = 64
-SKETCH_SIZE = 1024
+# As many keys as there are partitions can hold more than one partition's share; the list is collected, so it ends there.
+SKETCH_PER_KEY = 16
 
 # A right side up to this estimated size is broadcast; beyond it both sides are shuffled.
 BROADCAST_BYTES = 16 << 20
@@ -46,7 +45,8 @@ class HotKeys:
     def of(self, key: str) -> dict:
         """Hot key to the slots it needs."""
         if self._found is None:
-            sketches = [F.expr(f"approx_top_k({k}, {HOT_KEYS}, {SKETCH_SIZE})").alias(k) for k in self._keys]
+            most = max(64, self._parts)
+            sketches = [F.expr(f"approx_top_k({k}, {most}, {SKETCH_PER_KEY * most})").alias(k) for k in self._keys]
             (row,) = self._df.agg(F.count(F.lit(1)).alias("_n"), *sketches).collect()
             self._found = {k: self._shares(row[k], row["_n"]) for k in self._keys}
         return self._found[key]

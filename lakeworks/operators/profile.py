@@ -50,7 +50,7 @@ def overall_rate(df: DataFrame, outcome: str) -> DataFrame:
         hits.alias("deals"),
         (total - hits).alias("no_deals"),
         percent.alias("success_pct"),
-        F.format_string("%.2f%%", percent).alias("success_text"),
+        F.when(percent.isNotNull(), F.format_string("%.2f%%", percent)).alias("success_text"),
     )
 
 
@@ -108,8 +108,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("x").alias("max"),
     )
     cuts = quantiles(values, ["column_name"], "x", [0.25, 0.5, 0.75])
-    # One row per named column on both sides.
-    return basic.join(F.broadcast(cuts), "column_name").select(
+    return basic.join(cuts, "column_name").select(
         "column_name",
         "n",
         "mean",

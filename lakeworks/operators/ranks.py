@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -59,8 +60,10 @@ def values_at(
     hits = placed.select(*keys, "_part", "before", here.alias("wanted")).filter(F.size("wanted") > 0)
 
     running = W.partitionBy(*keys, "_part").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hit_{k}")) for k in [*keys, "_part"]])
+    renamed = hits.select(*[F.col(k).alias(f"_hit_{k}") for k in [*keys, "_part"]], "before", "wanted")
     found = (
-        ranged.join(hits, [*keys, "_part"])
+        ranged.join(renamed, same)
         .withColumn("_to", F.col("before") + F.sum("n").over(running))
         .withColumn("w", F.explode("wanted"))
         .filter((F.col("w.rank") < F.col("_to")) & (F.col("w.rank") >= F.col("_to") - F.col("n")))
@@ -81,14 +84,24 @@ def quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilities: S
     rows = values_at(df, groups, value, lambda n: [(n - 1) * F.lit(p) for p in probabilities])
     # One entry per probability: the list has a fixed length.
     ordered = F.array_sort(F.collect_list(F.struct("position_no", "value")))
-    return rows.groupBy(*groups).agg(F.transform(ordered, lambda x: x["value"]).alias("quantiles"))
+    found = F.when(F.size(ordered) > 0, F.transform(ordered, lambda x: x["value"])).alias("quantiles")
+    ranged = rows.groupBy(*groups).agg(found)
+    if not groups:
+        return ranged
+    # Groups without any value keep their row, as in the small form.
+    own = [F.col(g).alias(f"_{g}") for g in groups]
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups])
+    return df.select(*groups).distinct().join(ranged.select(*own, "quantiles"), same, "left").select(*groups, "quantiles")
 
 
 def positional_split(df: DataFrame, key: str, fraction: float = 0.7) -> DataFrame:
     """Mark the first ``floor(fraction * n)`` rows in ``key`` order as ``is_train``.
 
-    A table has no order of its own, so a unique, non-null order key must be named.
+    A table has no order of its own, so a unique, non-null order key must be named; others are refused.
     """
+    unfit = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())
+    if not unfit.isEmpty():
+        raise ValueError(f"{key} repeats or is null, so it does not order the rows")
     first_test = values_at(df, [], key, lambda n: [F.floor(n * F.lit(fraction))], interpolate=False)
     boundary = first_test.select("value").scalar()
     return df.withColumn("is_train", F.coalesce(F.col(key) < boundary, F.lit(True)))

@@ -99,8 +99,8 @@ def _ranked_texts(text: Column) -> Column:
 
 
 def contexts(hits: DataFrame, chunks: DataFrame, key: str = "vec_id", text: str = "chunk_text") -> DataFrame:
-    """The retrieved chunk texts of each question, joined in rank order into one context text."""
-    found = chunks.select(key, text).join(_hits(hits, key), key)
+    """The retrieved chunk texts of each question, joined in rank order; hits without text leave no gap."""
+    found = _hits(hits, key).join(chunks.select(key, text), key, "left")
     return found.groupBy("question_id").agg(F.array_join(_ranked_texts(F.col(text)), CONTEXT_SEPARATOR).alias("context"))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakeworks.functions.quality import iso_date
 
 ORDER_DIMS = ["year", "month", "country", "channel"]
 DIMS = [*ORDER_DIMS, "product_id"]
@@ -60,7 +59,7 @@ def cube_numbers(fact: DataFrame) -> DataFrame:
     Lines are first folded to one row per (dimensions, order). The 16 sets without product start from
     a second, smaller fold without the product column, so only the other 16 multiply item rows.
     """
-    day = iso_date(F.col("order_date"))
+    day = F.col("order_date").try_cast("date")  # also reads 2024-1-5, 2024-01 and dates with a time
     lines = fact.select(
         F.year(day).alias("year"),
         F.month(day).alias("month"),

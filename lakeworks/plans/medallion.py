@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
@@ -104,7 +106,8 @@ def over_given_tables(spark: SparkSession, sf_dir: str) -> Medallion:
     with _lock:
         if key not in _runs:
             tag = f"sf{len(_runs)}"
-            run = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_")
+            own = re.sub(r"\W", "_", spark.sparkContext.applicationId)  # databases are shared between applications
+            run = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_{own}_")
             commerce = {name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE}
             run.land({**commerce, "pitches": views.view(spark, sf_dir, "pitches")})
             run.bronze()

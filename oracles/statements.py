@@ -171,7 +171,7 @@ _CUBE = f"""
 SELECT {{dims}}, cast(round(sum(revenue_usd), 2) AS DOUBLE) AS total_revenue_usd, count(DISTINCT order_id) AS total_orders,
  {_AVERAGE} AS avg_order_value{{extra}}
 FROM (SELECT *, cast(year(d) AS string) AS year, cast(month(d) AS string) AS month FROM
- (SELECT *, try_strptime(order_date, '%Y-%m-%d') AS d FROM fact_orders))
+ (SELECT *, try_cast(order_date AS DATE) AS d FROM fact_orders))
 GROUP BY CUBE (year, month, country, channel, product_id)
 """
 _CUBE_DIMS = ", ".join(f"coalesce({c}, 'ALL') AS {c}" for c in ("year", "month", "country", "channel", "product_id"))
@@ -417,8 +417,13 @@ def statements() -> dict[str, str]:
     )
     out["overall_rate"] = _sql(
         """SELECT count(*) AS total, cast(sum(deal) AS BIGINT) AS deals, cast(count(*) - sum(deal) AS BIGINT) AS no_deals,
- round(sum(deal) * 100 / count(*), 2) AS success_pct, printf('%.2f%%', round(sum(deal) * 100 / count(*), 2)) AS success_text FROM pitch_clean""",
-        "pitch_clean",
+ round(sum(deal) * 100 / count(*), 2) AS success_pct, printf('%.2f%%', round(sum(deal) * 100 / count(*), 2)) AS success_text
+ FROM (SELECT cast(deal AS INTEGER) AS deal FROM pitches)""",
+        "pitches",
+    )
+    out["value_counts_raw"] = _sql(
+        "SELECT deal, count(*) AS n_rows, round(count(*) * 100 / (SELECT count(deal) FROM pitches), 2) AS share_pct FROM pitches GROUP BY deal",
+        "pitches",
     )
     out["rate_by_category"] = _sql(f"SELECT category, {_six('deal_rate')}, total_pitches, deal_rate_pct FROM ({_rates('category')})", "features")
     out["top_categories"] = _sql(
@@ -486,7 +491,7 @@ SELECT vec_id, round(list_distance(cast(embedding AS DOUBLE[]), question) ** 2,
 ORDER BY list_distance(cast(embedding AS DOUBLE[]), question), vec_id LIMIT 3
 """
     out["context_per_query"] = _sql(
-        "SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM context_hits JOIN documents ON doc_id = vec_id GROUP BY question_id",
+        "SELECT question_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY rank), '') AS context FROM context_hits LEFT JOIN documents ON doc_id = vec_id GROUP BY question_id",
         "context_hits",
     )
     out["source_list"] = _sql(

@@ -184,3 +184,19 @@ def test_category_verdict_stands_whatever_the_range(spark):
     df = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "category string, season int, deal int")
     got = {r.grouping: r.significant for r in study.range_tests(df).collect()}
     assert got == {"category": True, "season": False}
+
+
+@pytest.mark.parametrize("rows", [[("a", 1.0), ("a", 3.0), ("b", None), (None, 5.0), (None, 7.0)], []])
+def test_quantiles_give_the_same_rows_at_any_size(spark, monkeypatch, rows):
+    table = spark.createDataFrame(rows, "g string, x double")
+    results = []
+    for limit in (1 << 40, -1):
+        monkeypatch.setattr(ranks, "IN_MEMORY_BYTES", limit)
+        results.append([sorted(ranks.quantiles(table, groups, "x", [0.25, 0.5]).collect(), key=str) for groups in (["g"], [])])
+    assert results[0] == results[1]
+
+
+def test_positional_split_refuses_repeated_and_null_keys(spark):
+    for keys in ([1, 1, 2], [1, None]):
+        with pytest.raises(ValueError, match="does not order"):
+            ranks.positional_split(spark.createDataFrame([(k,) for k in keys], "k int"), "k")

@@ -9,9 +9,9 @@ follows, with common-prefix lengths; a stack scan yields the intervals of the tr
 contexts, sorted from the anchor outwards, show where members extend to the left alike and where they differ. Left and
 right extents that add up to LENGTH are repeats, for all occurrences of an interval, not just neighbours.
 
-Equal texts are folded first. A K-gram with very many different surroundings is dealt out by them, and its
-repeats are counted by hashes of all its windows instead of in one task (which K-grams are dealt out so is read off a
-sample and decides only the layout). Defined results: null texts are empty; texts shorter than LENGTH keep all bytes;
+Equal texts are folded first. Anchors are counted by aggregates that combine before the shuffle, never by windows over
+a K-gram. The rims of a K-gram with more than MANY_ROWS anchors (counted, not estimated) are not laid out in one task:
+their repeats are counted by hashes of all their windows. Defined results: null texts are empty; texts shorter than LENGTH keep all bytes;
 repeated rows are copies of each other; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.llm.common import slices
+from lakeworks.llm.common import forget, slices, stored
 from lakeworks.session import shuffle_partitions
 
 LENGTH, GRAM = 200, 32
 BEFORE = LENGTH - GRAM
 CHUNK = 1 << 19
-SAMPLE_TEXTS, MANY_ROWS = 5_000, 100_000
+#: Anchors of one K-gram beyond which its rims are dealt out by windows; bounds the memory of a tree, not the result.
+MANY_ROWS = 20_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -144,10 +145,19 @@ def intervals(common: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
+def _least(levels: list[np.ndarray], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Minimum of each range start..stop-1 (not empty), from minima over powers of two."""
+    level = np.frexp((stop - start).astype(np.float64))[1] - 1
+    table = np.concatenate(levels)
+    base = np.cumsum([0, *(len(x) for x in levels[:-1])])[level]
+    return np.minimum(table[base + start], table[base + stop - (1 << level)])
+
+
 def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
     """(member, bytes to the left, bytes to the right) of every maximal repeat of at least ``length`` bytes.
 
-    ``left`` holds what precedes each anchor, read backwards; ``right`` what begins at it.
+    ``left`` holds what precedes each anchor, read backwards; ``right`` what begins at it. Left contexts are ranked
+    once; within an interval, neighbours by rank extend alike as far as the least common prefix between them.
     """
     before = length - gram
     if len(right) == 2:  # a tree of two leaves
@@ -155,18 +165,25 @@ def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: i
         found = reach >= gram and extend + reach >= length
         return [(i, extend, reach) for i in (0, 1)] if found else []
     order = sorted(range(len(right)), key=lambda i: right[i])
+    by_left = sorted(range(len(left)), key=lambda i: left[i])
+    rank = np.empty(len(left), dtype=np.int64)
+    rank[by_left] = np.arange(len(left))
+    rank = rank[order]
     r_table, r_size = _table([right[i] for i in order], length)
-    l_table, l_size = _table([left[i] for i in order], before)
+    l_table, l_size = _table([left[i] for i in by_left], before)
     common = _prefix(r_table[:-1], r_size[:-1], r_table[1:], r_size[1:])
+    levels = [_prefix(l_table[:-1], l_size[:-1], l_table[1:], l_size[1:])]
+    while len(levels[-1]) > (step := 1 << (len(levels) - 1)):
+        levels.append(np.minimum(levels[-1][:-step], levels[-1][step:]))
     out = []
     for reach, first, last in intervals(common.tolist()):
         if reach < gram:
             continue
-        inside = sorted(range(first, last + 1), key=lambda i: left[order[i]])
-        a, b = inside[:-1], inside[1:]
-        alike = _prefix(l_table[a], l_size[a], l_table[b], l_size[b])
+        inside = np.sort(rank[first : last + 1])
+        alike = _least(levels, inside[:-1], inside[1:])
         extend = np.maximum(np.r_[0, alike], np.r_[alike, 0])  # with its most alike member of the interval
-        out += [(order[i], e, reach) for i, e in zip(inside, extend.tolist(), strict=True) if e + reach >= length]
+        far = np.flatnonzero(extend + reach >= length)
+        out += [(by_left[i], e, reach) for i, e in zip(inside[far].tolist(), extend[far].tolist(), strict=True)]
     return out
 
 
@@ -202,50 +219,34 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "around", "k1", "k2", "place"])
 
 
-_MARKS = "marks array<struct<place:long,full:boolean,rim:boolean,many:boolean,gram:long>>"
-
-
-def _full_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merged extents of the anchors whose whole surroundings repeat."""
-    for batch in slices(batches):
-        out = []
-        for a, b, size, marks in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "size", "marks")), strict=True):
-            spans = [(max(0, m["place"] - BEFORE), min(size, m["place"] + LENGTH)) for m in marks if m["full"]]
-            out += [(a, b, lo, hi) for lo, hi in _merge([s for s in spans if s[1] - s[0] >= LENGTH])]
-        yield _rows(out, "k1", "k2", "lo", "hi")
-
-
 def _rows(out: list[tuple], *names: str) -> pa.RecordBatch:
     columns = list(zip(*out, strict=True)) or [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=list(names))
 
 
-def _rims(many: bool):
-    """Surroundings of the anchors at the rims of repeats."""
+_FOUND = "gram long, around long, k1 long, k2 long, place long"
+_PART = "kind int, gram long, before binary, after binary, k1 long, k2 long, lo long, hi long"
+FULL, RIM, MANY = 0, 1, 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            columns: tuple[list, ...] = ([], [], [], [], [], [])
-            for a, b, text, marks in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", _BODY, "marks")), strict=True):
-                own = [m for m in marks if m["rim"] and m["many"] == many]
-                if not own:
-                    continue
-                data = text.encode()
-                for m in own:
-                    at = m["place"]
-                    row = (m["gram"], data[max(0, at - BEFORE) : at][::-1], data[at : at + LENGTH], a, b, at)
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                names=["gram", "before", "after", "k1", "k2", "place"],
-            )
 
-    return run
-
-
-_RIM = "gram long, before binary, after binary, k1 long, k2 long, place long"
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text: merged extents of anchors whose whole surroundings repeat, and the surroundings of its rims."""
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    names = ["kind", "gram", "before", "after", "k1", "k2", "lo", "hi"]
+    for batch in slices(batches, 64):
+        out: list[tuple] = []
+        for a, b, text, marks in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", _BODY, "marks")), strict=True):
+            data = text.encode()
+            full = [m["place"] for m in marks if m["kind"] == FULL]
+            spans = [(max(0, at - BEFORE), min(len(data), at + LENGTH)) for at in full]
+            out += [(FULL, None, None, None, a, b, lo, hi) for lo, hi in _merge([s for s in spans if s[1] - s[0] >= LENGTH])]
+            for m in marks:
+                if m["kind"] != FULL:
+                    at = m["place"]
+                    around = (data[max(0, at - BEFORE) : at][::-1], data[at : at + LENGTH])
+                    out.append((m["kind"], m["gram"], *around, a, b, at, None))
+        columns = list(zip(*out, strict=True)) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +258,7 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(group) > 1:
             for i, lo, hi in repeats([g["before"] for g in group], [g["after"] for g in group]):
                 row = group[i]
-                out.append((row["k1"], row["k2"], row["place"] - lo, row["place"] + hi))
+                out.append((row["k1"], row["k2"], row["lo"] - lo, row["lo"] + hi))
 
     for batch in slices(batches, 2000):
         for row in batch.to_pylist():
@@ -281,7 +282,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = np.arange(max(0, len(data) - LENGTH + 1))
             twice = [_Hashes(data).of(start, start + LENGTH), _Hashes(data[::-1]).of(len(data) - LENGTH - start, len(data) - start)]
             same = [np.full(len(start), row[k]) for k in ("k1", "k2")]
-            out.append((*(h.view(np.int64) for h in twice), *same, start + row["place"] - len(row["before"])))
+            out.append((*(h.view(np.int64) for h in twice), *same, start + row["lo"] - len(row["before"])))
         if out:
             columns = [np.concatenate(c) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["w1", "w2", "k1", "k2", "lo"])
@@ -310,16 +311,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _frequent_grams(rows: DataFrame) -> list[int]:
-    """K-grams that, going by a sample of texts, stand in more than MANY_ROWS texts; for the layout only."""
-    n = rows.count()
-    share = min(1.0, SAMPLE_TEXTS / max(1, n))
-    if n <= MANY_ROWS:
-        return []
-    part = rows.sample(share, seed=0)
-    found = part.mapInArrow(_anchor_rows, "gram long, around long, k1 long, k2 long, place long")
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(2.0, MANY_ROWS * share))
-    return [r["gram"] for r in often.orderBy(F.desc("n")).limit(1000).collect()]
+def _marks(rows: DataFrame) -> DataFrame:
+    """k1, k2, marks: the anchors of each text that repeat whole, and one of each kind of surroundings at rims."""
+    found = stored(rows.mapInArrow(_anchor_rows, _FOUND))
+    per_gram = found.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("around") != F.max("around")).alias("differ")
+    )
+    hits = stored(found.join(per_gram.where("n > 1"), "gram"))
+    forget(found)
+    groups = hits.groupBy("gram", "around").agg(
+        F.count(F.lit(1)).alias("same"),
+        F.min(F.struct("k1", "k2", "place")).alias("first"),
+        F.first("n").alias("n"),
+        F.first("differ").alias("differ"),
+    )
+    full = hits.join(groups.where("same > 1").select("gram", "around"), ["gram", "around"])
+    kind = F.when(F.col("n") > MANY_ROWS, MANY).otherwise(RIM)
+    rims = groups.where("differ").select("first.k1", "first.k2", F.struct(kind.alias("kind"), "gram", "first.place").alias("mark"))
+    marks = full.select("k1", "k2", F.struct(F.lit(FULL).alias("kind"), F.lit(None).cast("long").alias("gram"), "place").alias("mark"))
+    return marks.union(rims).groupBy("k1", "k2").agg(F.collect_list("mark").alias("marks"))
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -330,39 +340,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.col(key).alias("doc_id"), F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(1), body).alias("k2"), body.alias(_BODY)
     )
     texts = rows.groupBy("k1", "k2").agg(F.first(_BODY).alias(_BODY), F.count(F.lit(1)).alias("copies"))
-    often = _frequent_grams(rows.select("k1", "k2", _BODY))
-    many = F.col("gram").isin(often) if often else F.lit(False)
-    salt = F.when(many, F.pmod("around", F.lit(4 * shuffle_partitions(spark)))).otherwise(F.lit(0))
-    found = rows.select("k1", "k2", _BODY).mapInArrow(_anchor_rows, "gram long, around long, k1 long, k2 long, place long")
-    found = found.withColumns({"many": many, "salt": salt})
-    per_gram, per_around = Window.partitionBy("gram", "salt"), Window.partitionBy("gram", "salt", "around")
-    one = F.count(F.lit(1))
-    marked = found.withColumns(
-        {
-            "n": one.over(per_gram),
-            "same": one.over(per_around),
-            "nth": F.row_number().over(per_around.orderBy("k1", "k2", "place")),
-        }
-    )
-    full = F.col("same") > 1
-    rim = (F.col("many") | (F.col("n") > F.col("same"))) & (F.col("nth") == 1)
-    marks = marked.select("k1", "k2", F.struct("place", full.alias("full"), rim.alias("rim"), "many", "gram").alias("mark"))
-    marks = marks.where("mark.full or mark.rim").groupBy("k1", "k2").agg(F.collect_list("mark").alias("marks"))
-    held = texts.join(marks, ["k1", "k2"]).select(
-        "k1", "k2", _BODY, F.octet_length(_BODY).cast("long").alias("size"), "marks"
-    )
+    held = texts.join(_marks(rows.select("k1", "k2", _BODY)), ["k1", "k2"]).select("k1", "k2", _BODY, "marks")
+    parts = stored(held.mapInArrow(_parts, _PART))
     extent = "k1 long, k2 long, lo long, hi long"
-    spans = held.mapInArrow(_full_spans, extent)
-    rims = held.mapInArrow(_rims(many=False), _RIM).repartition(shuffle_partitions(spark), "gram")
+    spans = parts.where(F.col("kind") == FULL).select("k1", "k2", "lo", "hi")
+    rims = parts.where(F.col("kind") == RIM).drop("kind", "hi").repartition(shuffle_partitions(spark), "gram")
     spans = spans.union(rims.sortWithinPartitions("gram").mapInArrow(_trees, extent))
-    if often:
-        windows = held.mapInArrow(_rims(many=True), _RIM).mapInArrow(_windows, "w1 long, w2 long, k1 long, k2 long, lo long")
-        start = F.struct("k1", "k2", "lo")  # one start may come from several anchors
-        ends = windows.groupBy("w1", "w2").agg(F.min(start).alias("first"), F.max(start).alias("last"))
-        twice = ends.where("first <> last").select("w1", "w2")
-        again = windows.join(twice, ["w1", "w2"]).select("k1", "k2", "lo", (F.col("lo") + LENGTH).alias("hi"))
-        spans = spans.union(again)
-    gone = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    windows = parts.where(F.col("kind") == MANY).mapInArrow(_windows, "w1 long, w2 long, k1 long, k2 long, lo long")
+    start = F.struct("k1", "k2", "lo")  # one start may come from several anchors
+    ends = windows.groupBy("w1", "w2").agg(F.min(start).alias("first"), F.max(start).alias("last"))
+    twice = ends.where("first <> last").select("w1", "w2")
+    again = windows.join(twice, ["w1", "w2"]).select("k1", "k2", "lo", (F.col("lo") + LENGTH).alias("hi"))
+    gone = spans.union(again).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     left = texts.join(gone, ["k1", "k2"], "left").mapInArrow(
         _cut, "k1 long, k2 long, n_bytes long, n_removed long, bounds array<long>, kept_sha256 string"
     )

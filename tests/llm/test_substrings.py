@@ -48,13 +48,10 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize(("seed", "many"), [(0, 10**9), (1, 10**9), (2, 5)])
+@pytest.mark.parametrize(("seed", "many"), [(0, 10**9), (1, 10**9), (2, 3), (3, 1)])
 def test_spans_match_brute_force(spark, monkeypatch, seed, many):
     texts = corpus(seed)
-    if many < 10:
-        monkeypatch.setattr(substrings, "_frequent_grams", lambda rows: [
-            r["gram"] for r in rows.mapInArrow(substrings._anchor_rows, "gram long, around long, k1 long, k2 long, place long")
-            .groupBy("gram").count().where("count >= 4").collect()])
+    monkeypatch.setattr(substrings, "MANY_ROWS", many)
     docs = spark.createDataFrame([(i, t, "x", 0) for i, t in enumerate(texts)], "doc_id long, text string, size string, k1 int")
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["bounds"]) // 2, r["kept_sha256"]) for r in substrings.repeated_spans(docs).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts)
@@ -80,6 +77,22 @@ def test_interval_tree_holds_all_groups():
         assert set(substrings.intervals(common)) == want
 
 
+def test_repeats_match_pairs():
+    rng = random.Random(5)
+    for _ in range(60):
+        n, alphabet = rng.randint(2, 40), "ab" if rng.random() < 0.5 else "abc"
+        text = lambda k: "".join(rng.choices(alphabet, k=rng.randint(k // 2, k))).encode()
+        left, right = [text(6) for _ in range(n)], [b"zz" + text(6) for _ in range(n)]
+        common = lambda x, y: next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        want = set()
+        for i in range(n):
+            for j in range(n):
+                e, r = common(left[i], left[j]), common(right[i], right[j])
+                want |= {(i, x) for x in range(e + 1) if i != j and x + r >= 8}
+        got = {(i, x) for i, e, r in substrings.repeats(left, right, 8, 2) for x in range(e + 1) if x + r >= 8}
+        assert got == want
+
+
 def test_anchor_in_every_window():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 101, 5000).astype(np.uint8)

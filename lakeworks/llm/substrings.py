@@ -18,10 +18,11 @@ repeated rows are copies of each other; an empty table gives an empty result; fu
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -145,15 +146,24 @@ def intervals(common: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _least(levels: list[np.ndarray], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Minimum of each range start..stop-1 (not empty), from minima over powers of two."""
-    level = np.frexp((stop - start).astype(np.float64))[1] - 1
-    table = np.concatenate(levels)
-    base = np.cumsum([0, *(len(x) for x in levels[:-1])])[level]
-    return np.minimum(table[base + start], table[base + stop - (1 << level)])
+class _Least:
+    """Minima of ranges, from minima over powers of two."""
 
+    def __init__(self, values: np.ndarray) -> None:
+        levels = [values]
+        while len(levels[-1]) > (step := 1 << (len(levels) - 1)):
+            levels.append(np.minimum(levels[-1][:-step], levels[-1][step:]))
+        self.table = np.concatenate(levels)
+        self.base = np.cumsum([0, *(len(x) for x in levels[:-1])])
 
-def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Minimum of each range start..stop-1 (not empty)."""
+        level = np.frexp((stop - start).astype(np.float64))[1] - 1
+        base = self.base[level]
+        return np.minimum(self.table[base + start], self.table[base + stop - (1 << level)])
+
+
+def repeats(left: Sequence[bytes], right: Sequence[bytes], length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
     """(member, bytes to the left, bytes to the right) of every maximal repeat of at least ``length`` bytes.
 
     ``left`` holds what precedes each anchor, read backwards; ``right`` what begins at it. Left contexts are ranked
@@ -172,15 +182,18 @@ def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: i
     r_table, r_size = _table([right[i] for i in order], length)
     l_table, l_size = _table([left[i] for i in by_left], before)
     common = _prefix(r_table[:-1], r_size[:-1], r_table[1:], r_size[1:])
-    levels = [_prefix(l_table[:-1], l_size[:-1], l_table[1:], l_size[1:])]
-    while len(levels[-1]) > (step := 1 << (len(levels) - 1)):
-        levels.append(np.minimum(levels[-1][:-step], levels[-1][step:]))
+    least = _Least(_prefix(l_table[:-1], l_size[:-1], l_table[1:], l_size[1:]))
     out = []
     for reach, first, last in intervals(common.tolist()):
         if reach < gram:
             continue
+        if last == first + 1:
+            pair = order[first], order[last]
+            extend = _common(left[pair[0]], left[pair[1]])
+            out += [(i, extend, reach) for i in pair if extend + reach >= length]
+            continue
         inside = np.sort(rank[first : last + 1])
-        alike = _least(levels, inside[:-1], inside[1:])
+        alike = least.of(inside[:-1], inside[1:])
         extend = np.maximum(np.r_[0, alike], np.r_[alike, 0])  # with its most alike member of the interval
         far = np.flatnonzero(extend + reach >= length)
         out += [(by_left[i], e, reach) for i, e in zip(inside[far].tolist(), extend[far].tolist(), strict=True)]
@@ -235,41 +248,50 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["kind", "gram", "before", "after", "k1", "k2", "lo", "hi"]
     for batch in slices(batches, 64):
         out: list[tuple] = []
-        for a, b, text, marks in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", _BODY, "marks")), strict=True):
-            data = text.encode()
-            full = [m["place"] for m in marks if m["kind"] == FULL]
-            spans = [(max(0, at - BEFORE), min(len(data), at + LENGTH)) for at in full]
-            out += [(FULL, None, None, None, a, b, lo, hi) for lo, hi in _merge([s for s in spans if s[1] - s[0] >= LENGTH])]
-            for m in marks:
-                if m["kind"] != FULL:
-                    at = m["place"]
-                    around = (data[max(0, at - BEFORE) : at][::-1], data[at : at + LENGTH])
-                    out.append((m["kind"], m["gram"], *around, a, b, at, None))
+        marks = batch.column("marks")
+        kind, gram, place = (pc.struct_field(marks.flatten(), f).to_numpy(zero_copy_only=False) for f in ("kind", "gram", "place"))
+        ends = np.cumsum([0, *pc.list_value_length(marks).to_pylist()])
+        for i, (a, b) in enumerate(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)):
+            data = batch.column(_BODY)[i].as_buffer().to_pybytes()
+            own = slice(ends[i], ends[i + 1])
+            full = np.sort(place[own][kind[own] == FULL])
+            if len(full):
+                lo, hi = np.maximum(0, full - BEFORE), np.minimum(len(data), full + LENGTH)
+                long = hi - lo >= LENGTH
+                lo, hi = lo[long], hi[long]
+                new = np.flatnonzero(lo[1:] > hi[:-1]) + 1
+                spans = zip(lo[np.r_[0, new]].tolist(), hi[np.r_[new - 1, len(hi) - 1]].tolist(), strict=True) if len(lo) else ()
+                out += [(FULL, None, None, None, a, b, *span) for span in spans]
+            for j in np.flatnonzero(kind[own] != FULL) + ends[i]:
+                at = int(place[j])
+                out.append((kind[j], gram[j], data[max(0, at - BEFORE) : at][::-1], data[at : at + LENGTH], a, b, at, None))
         columns = list(zip(*out, strict=True)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats of each K-gram; its rows arrive together. Memory: the rims of one K-gram and a batch."""
-    held: list[dict] = []
+    names = ("gram", "before", "after", "k1", "k2", "lo")
+    held: list[tuple] = []
     out: list[tuple] = []
 
-    def settle(group: list[dict]) -> None:
-        if len(group) > 1:
-            for i, lo, hi in repeats([g["before"] for g in group], [g["after"] for g in group]):
-                row = group[i]
-                out.append((row["k1"], row["k2"], row["lo"] - lo, row["lo"] + hi))
+    def settle() -> None:
+        if len(held) > 1:
+            _, before, after, *_ = zip(*held, strict=True)
+            for i, lo, hi in repeats(before, after):
+                _, _, _, k1, k2, at = held[i]
+                out.append((k1, k2, at - lo, at + hi))
+        held.clear()
 
     for batch in slices(batches, 2000):
-        for row in batch.to_pylist():
-            if held and held[0]["gram"] != row["gram"]:
-                settle(held)
-                held = []
+        for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if held and held[0][0] != row[0]:
+                settle()
             held.append(row)
         if out:
             yield _rows(out, "k1", "k2", "lo", "hi")
             out.clear()
-    settle(held)
+    settle()
     yield _rows(out, "k1", "k2", "lo", "hi")
 
 
@@ -328,7 +350,7 @@ def _marks(rows: DataFrame) -> DataFrame:
     full = hits.join(groups.where("same > 1").select("gram", "around"), ["gram", "around"])
     kind = F.when(F.col("n") > MANY_ROWS, MANY).otherwise(RIM)
     rims = groups.where("differ").select("first.k1", "first.k2", F.struct(kind.alias("kind"), "gram", "first.place").alias("mark"))
-    marks = full.select("k1", "k2", F.struct(F.lit(FULL).alias("kind"), F.lit(None).cast("long").alias("gram"), "place").alias("mark"))
+    marks = full.select("k1", "k2", F.struct(F.lit(FULL).alias("kind"), F.lit(0).cast("long").alias("gram"), "place").alias("mark"))
     return marks.union(rims).groupBy("k1", "k2").agg(F.collect_list("mark").alias("marks"))
 
 

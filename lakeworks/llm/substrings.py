@@ -339,8 +339,10 @@ def _marks(rows: DataFrame) -> DataFrame:
     per_gram = found.groupBy("gram").agg(
         F.count(F.lit(1)).alias("n"), (F.min("around") != F.max("around")).alias("differ")
     )
-    hits = stored(found.join(per_gram.where("n > 1"), "gram"))
+    shared = stored(per_gram.where("n > 1"))  # stored, so that the join deals both sides itself and can split a hot K-gram
+    hits = stored(found.join(shared, "gram"))
     forget(found)
+    forget(shared)
     groups = hits.groupBy("gram", "around").agg(
         F.count(F.lit(1)).alias("same"),
         F.min(F.struct("k1", "k2", "place")).alias("first"),

@@ -349,6 +349,7 @@ def _marks(rows: DataFrame) -> DataFrame:
         F.first("n").alias("n"),
         F.first("differ").alias("differ"),
     )
+    groups = stored(groups.where("same > 1 or differ"))  # likewise for hot surroundings
     full = hits.join(groups.where("same > 1").select("gram", "around"), ["gram", "around"])
     kind = F.when(F.col("n") > MANY_ROWS, MANY).otherwise(RIM)
     rims = groups.where("differ").select("first.k1", "first.k2", F.struct(kind.alias("kind"), "gram", "first.place").alias("mark"))

@@ -282,15 +282,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     return rows.join(whole, "fp").select("doc_id", "mark", "fp", "component", "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group with all its columns: the smallest id (null last), then the smallest text hash."""
-    last = F.lit((1 << 63) - 1)
-    groups = near_duplicates(docs.select(key, text), key, text)
-    ident = F.struct(F.coalesce(F.col("doc_id").cast("long"), last).alias("_id"), F.col("mark").alias("_mark"))
-    heads = groups.groupBy("component").agg(F.min(ident).alias("head")).select("head.*")
-    rows = docs.withColumns({"_id": F.coalesce(F.col(key).cast("long"), last), "_mark": F.xxhash64(text)})
-    return rows.join(heads, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select(*docs.columns)
-
-
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm import decontaminate, licenses, linededup, neighbours, packing, quality, sharding, simhash, substrings, toxicity
+from lakeworks.llm import (
+    decontaminate, factors, licenses, linededup, merkle, neighbours, packing, periods, quality, sharding, simhash, substrings, toxicity,
+)
 from lakeworks.llm.common import table
 
 SHARDS = 24
@@ -74,6 +76,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.duplicate_spans(table(spark, sf_dir, "documents")).drop("bounds")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.Manifest(table(spark, sf_dir, "documents"), claimed=merkle.tampered_leaf()).proofs()
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -85,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
+    "op11_factors": op11_factors,
+    "op12_manifest": op12_manifest,
+    "op13_periods": op13_periods,
 }
 
 ORACLES: dict[str, str] = {}

@@ -12,8 +12,8 @@ Equal texts are folded, and so are equal pieces: one that stands twice is a sing
 Pieces around an anchor are counted (by aggregates that combine before the shuffle). Where different ones are more than
 a block takes, the anchor is widened: a window reaches half of the remaining words to the left or to the right of it, so
 each piece goes on under a longer anchor to either side, with less around it; more pieces are then equal and fold, until
-an anchor fills a whole window. Joins with keys that hold more than a task's share broadcast those keys, of which
-there are fewer than four per task. Nothing is capped or sampled.
+an anchor fills a whole window. Both sides of every join by anchor are stored tables, so that a hot anchor can be split
+when the join runs. Nothing is capped or sampled.
 
 Defined results: null, empty and word-less texts have no words and the digest of nothing; texts shorter than a window
 keep all words; repeated rows are copies of each other; a null id takes part like any other; an empty table gives an
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.common import forget, slices, stored
@@ -265,35 +265,24 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(held)
 
 
-def _join_hot(rows: DataFrame, groups: DataFrame, on: list[str], weight: Column) -> DataFrame:
-    """``rows.join(groups, on)`` where ``weight`` is the number of rows of each group, of stored frames.
-
-    Groups with more than a quarter of a task's share are broadcast: fewer than four per task can be that large.
-    """
-    share = max(1, rows.count() // (4 * shuffle_partitions(rows.sparkSession)))
-    hot = F.broadcast(groups.where(weight > share))
-    rest = rows.join(F.broadcast(groups.where(weight > share).select(*on)), on, "left_anti")
-    return rows.join(hot, on).unionByName(rest.join(groups.where(weight <= share), on))
-
-
 def _marks(rows: DataFrame) -> DataFrame:
     """k1, k2, marks: of each text, the places of pieces that stand twice, and one place of each piece to be parsed."""
     found = stored(rows.mapInArrow(_anchor_rows, _FOUND))
     per_core = found.groupBy("core").agg(F.count(F.lit(1)).alias("total"), (F.min("seg") != F.max("seg")).alias("differ"))
     shared = stored(per_core.where("total > 1"))
-    hits = stored(_join_hot(found, shared, ["core"], F.col("total")))
+    hits = stored(found.join(shared, "core"))
     forget(found)
     forget(shared)
     first = F.min(F.struct("k1", "k2", "place")).alias("first")
     per_seg = hits.groupBy("core", "seg").agg(F.count(F.lit(1)).alias("same"), first, F.first("differ").alias("differ"))
     groups = stored(per_seg.where("same > 1 or differ"))
-    members = _join_hot(hits, groups.where("same > 1").select("core", "seg", "same"), ["core", "seg"], F.col("same"))
+    members = hits.join(groups.where("same > 1").select("core", "seg"), ["core", "seg"])
     nothing = F.lit(0).cast("long")
     mark = F.struct(F.lit(True).alias("whole"), nothing.alias("core"), nothing.alias("n"), "place").alias("mark")
     whole = members.select("k1", "k2", mark)
     differing = groups.where("differ").select("core", "first.*")
     counts = stored(differing.groupBy("core").agg(F.count(F.lit(1)).alias("n")))
-    rims = _join_hot(differing, counts, ["core"], F.col("n"))
+    rims = differing.join(counts, "core")
     mark = F.struct(F.lit(False).alias("whole"), "core", "n", "place").alias("mark")
     both = whole.union(rims.select("k1", "k2", mark))
     return both.groupBy("k1", "k2").agg(F.collect_list("mark").alias("marks"))  # as many as the text has anchors
@@ -305,12 +294,12 @@ def _widen(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     carried = [c for c in _PIECE_NAMES if c not in ("core", "n")]
     first = F.min(F.struct("k1", "k2", "lo", "at", "words", "a", "b")).alias("first")
     groups = stored(rows.groupBy("core", "seg").agg(F.count(F.lit(1)).alias("same"), first))
-    lengths = groups.where("same > 1").select("core", "seg", "same", F.expr("size(split(cast(first.words as string), ' '))").alias("n_words"))
-    members = _join_hot(rows.select("core", "seg", "k1", "k2", "lo"), lengths, ["core", "seg"], F.col("same"))
+    lengths = groups.where("same > 1").select("core", "seg", F.expr("size(split(cast(first.words as string), ' '))").alias("n_words"))
+    members = rows.select("core", "seg", "k1", "k2", "lo").join(lengths, ["core", "seg"])
     spans = stored(members.select("k1", "k2", "lo", (F.col("lo") + F.col("n_words")).alias("hi")))
     different = groups.select("core", "first.*")
     counts = stored(different.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    kept = stored(_join_hot(different, counts, ["core"], F.col("n")).select("core", "n", *sorted(carried, key=_PIECE_NAMES.index)))
+    kept = stored(different.join(counts, "core").select("core", "n", *sorted(carried, key=_PIECE_NAMES.index)))
     for done in (rows, groups, counts):
         forget(done)
     return spans, kept

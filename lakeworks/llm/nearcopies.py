@@ -4,11 +4,16 @@ A text is the set of its five-word shingles; equal sets are folded first. All se
 sample of the documents shows to be frequent come last). Two sets with similarity of at least 4/5 share a shingle in
 the first fifth of both, so only sets that meet there are compared, whatever the order: it decides the cost, never the
 result. First every set is compared with the least one it meets under a shingle; then, where sets under one shingle
-are still in several groups, with all sets of other groups. Every link is verified on the whole sets, and groups are
-what links connect, so they are those of a comparison of all pairs.
+are still in several groups, with all sets of other groups (a shingle with many sets in cells of a grid of blocks).
+
+Pairs are tried on parity sketches first: every shingle of a set flips one bit. Two sets differ in at least as many
+shingles as their sketches differ in bits, and similarity 4/5 allows a ninth of both sizes, so a pair beyond that is
+no near copy. A sketch has about two bits per shingle; the longer of two is folded to the length of the other. What is left
+is verified on the whole sets, so groups are those of a comparison of all pairs.
 
 Defined results: null, empty and word-less texts have the empty set and are one group; a text of fewer than five words
-is one shingle; a null id comes last; repeated rows fold; texts are read whole.
+is one shingle; a null id comes last; repeated rows fold; texts are read whole; an empty table gives an empty result;
+further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.common import slices, stored
+from lakeworks.llm.common import forget, slices, stored
 from lakeworks.llm.components import components
 from lakeworks.session import shuffle_partitions
 
 SHINGLE, SEED = 5, 7
 SAMPLE_SHARE, SEEN, FREQUENT = 8, 8, 200_000  # how many shingles are told to all tasks as frequent; an order only
 PAIRS_AT_ONCE = 1 << 20
+#: Sets of one shingle in a block of its grid, and the least bits of a sketch.
+GRID_ROWS, SKETCH_BITS = 2_000, 512
 LAST = (1 << 63) - 1
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -48,6 +55,23 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.asarray(hashes, dtype=np.uint64).view(np.int64))
 
 
+def parity_sketch(own: np.ndarray) -> bytes:
+    """Parities of the shingles per bit; the length is the power of two from twice the shingles on."""
+    bits = max(SKETCH_BITS, 1 << int(2 * len(own) - 1).bit_length()) if len(own) else SKETCH_BITS
+    flips = np.bincount(own.view(np.uint64) % np.uint64(bits), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded: no more than the shingles the sets differ in."""
+    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def frequent_shingles(rows: DataFrame) -> np.ndarray:
     """Shingles that many documents of a sample hold, the most frequent last."""
 
@@ -63,13 +87,13 @@ def frequent_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def _marked(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """_id, _mark, node (hash of the set), size, prefix (the rare fifth of the set)."""
+    """_id, _mark, node (hash of the set), size, sketch, prefix (the rare fifth of the set)."""
     by_hash = np.argsort(frequent, kind="stable")
     known = frequent[by_hash]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            nodes, sizes, prefixes = [], [], []
+            nodes, sizes, sketches, prefixes = [], [], [], []
             for text in batch.column("_text").to_pylist():
                 own = shingles(text)
                 rank = np.full(len(own), -1)
@@ -79,44 +103,33 @@ def _marked(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 n = len(own)
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                 sizes.append(n)
+                sketches.append(parity_sketch(own))
                 prefixes.append(own[np.argsort(rank, kind="stable")][: n - (4 * n + 4) // 5 + 1])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"), batch.column("_mark"), pa.array(np.asarray(nodes, dtype=np.uint64).view(np.int64)),
-                    pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["_id", "_mark", "node", "size", "prefix"],
+                names=["_id", "_mark", "node", "size", "sketch", "prefix"],
             )
 
-    return rows.mapInArrow(run, "_id long, _mark long, node long, size int, prefix array<long>")
+    return rows.mapInArrow(run, "_id long, _mark long, node long, size int, sketch binary, prefix array<long>")
 
 
-def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[np.ndarray], np.ndarray]]:
-    """Columns of rows sorted by the first column, cut between keys, and where keys begin. Memory: a key and a batch."""
-    kept, names = None, []
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of rows sorted by the first three, cut between cells, and where cells begin. Memory: a cell and a batch."""
+    kept = None
     for batch in batches:
-        names = batch.schema.names
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         kept = columns if kept is None else [np.concatenate(x) for x in zip(kept, columns, strict=True)]
         if not len(kept[0]):
             continue
-        upto = int(np.searchsorted(kept[0], kept[0][-1]))
-        if upto:
-            key = kept[0][:upto]
-            yield names, [c[:upto] for c in kept], np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            kept = [c[upto:] for c in kept]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in kept[:3]], axis=0)) + 1
+        if len(new):
+            yield [c[: new[-1]] for c in kept], np.r_[0, new[:-1]]
+            kept = [c[new[-1] :] for c in kept]
     if kept is not None and len(kept[0]):
-        yield names, kept, np.zeros(1, dtype=np.int64)
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of shingles that several sets hold, with the first set of each."""
-    for names, columns, begin in _whole_keys(batches):
-        times = np.diff(np.r_[begin, len(columns[0])])
-        first, many = np.repeat(begin, times), np.repeat(times, times)
-        keep = np.flatnonzero(many > 1)
-        out = [c[keep] for c in columns] + [c[first[keep]] for c in columns[1:]] + [many[keep]]
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), names=[*names, *(f"first_{x}" for x in names[1:]), "many"])
+        yield kept, np.zeros(1, dtype=np.int64)
 
 
 def _can_match(size_a, at_a, size_b, at_b, least):
@@ -125,23 +138,41 @@ def _can_match(size_a, at_a, size_b, at_b, least):
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets under one shingle that are in different groups (columns: shingle, node, size, at, root)."""
-    for _, (_, node, size, at, root), begin in _whole_keys(batches):
+    """Pairs of sets under one shingle that are in different groups, cell by cell (rows sorted by shingle, row, column)."""
+    for (_, row, column, block, node, size, at, root), begin in _whole_cells(batches):
         for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(node)], strict=True):
             if (root[lo:hi] == root[lo]).all():
                 continue
-            rows = max(1, PAIRS_AT_ONCE // (hi - lo))
-            for start in range(lo, hi, rows):
-                a, b = np.meshgrid(np.arange(start, min(start + rows, hi)), np.arange(lo, hi), indexing="ij")
+            left = np.flatnonzero(block[lo:hi] == row[lo]) + lo
+            right = np.flatnonzero(block[lo:hi] == column[lo]) + lo
+            rows = max(1, PAIRS_AT_ONCE // max(1, len(right)))
+            for start in range(0, len(left), rows):
+                a, b = np.meshgrid(left[start : start + rows], right, indexing="ij")
                 a, b = a.ravel(), b.ravel()
-                near = (node[a] < node[b]) & (root[a] != root[b])
+                # Within a block each pair is met in both orders, across blocks once.
+                near = ((node[a] < node[b]) | (row[lo] != column[lo])) & (root[a] != root[b])
                 a, b = a[near], b[near]
                 near = _can_match(size[a], at[a], size[b], at[b], np.minimum)
-                yield pa.RecordBatch.from_arrays([pa.array(node[a[near]]), pa.array(node[b[near]])], names=["a", "b"])
+                x, y = node[a[near]], node[b[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, heads: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets have a similarity of at least 4/5."""
+def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches do not refuse."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1000):
+            columns = (batch.column(c).to_pylist() for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+            near = [9 * differing_bits(x, y) <= m + n for m, n, x, y in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    sides = [sketches.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+    return both.mapInArrow(judge, "a long, b long")
+
+
+def _verified(met: DataFrame, heads: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets have a similarity of at least 4/5, stored."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -157,34 +188,60 @@ def _verified(pairs: DataFrame, heads: DataFrame, rows: DataFrame) -> DataFrame:
                 near.append(5 * common >= 4 * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
+    pairs = stored(_alike(met, heads.select("node", "size", "sketch")))
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(heads, "node")
-    texts = rows.join(asked, ["_id", "_mark"]).dropDuplicates(["node"]).select("node", "_text")
+    texts = rows.join(asked.select("node", "_id", "_mark"), ["_id", "_mark"]).dropDuplicates(["node"]).select("node", "_text")
     sets = stored(texts.mapInArrow(sets_of, "node long, own array<long>"))
     own_a, own_b = (sets.select(F.col("node").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
-    return pairs.join(own_a, "a").join(own_b, "b").select("a", "b", "own_a", "own_b").mapInArrow(judge, "a long, b long")
+    links = stored(pairs.join(own_a, "a").join(own_b, "b").select("a", "b", "own_a", "own_b").mapInArrow(judge, "a long, b long"))
+    forget(sets)
+    forget(pairs)
+    return links
+
+
+def _cells(rest: DataFrame) -> DataFrame:
+    """Rows under a shingle, dealt to the cells of its grid: block x block, each pair of blocks once."""
+    blocks = F.ceil(F.col("many") / GRID_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = rest.withColumn("block", own).withColumn("_other", other)
+    row, column = F.least("block", "_other").alias("row"), F.greatest("block", "_other").alias("column")
+    return dealt.select("shingle", row, column, "block", "node", "size", "at", "root")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group with all its columns: the smallest id (null last), then the smallest text hash."""
-    identity = {"_id": F.coalesce(F.col(key).cast("long"), F.lit(LAST)), "_mark": F.xxhash64(text)}
-    rows = docs.withColumns(identity).select("_id", "_mark", F.col(text).alias("_text"))
+    whole = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("_id"),
+        F.xxhash64(text).alias("_mark"),
+        F.col(text).alias("_text"),
+    )
+    rows = whole.select("_id", "_mark", "_text")
     marked = stored(_marked(rows, frequent_shingles(rows)))
-    heads = stored(marked.groupBy("node").agg(F.min(F.struct("_id", "_mark")).alias("head")).select("node", "head.*"))
-    sets = marked.where("size > 0").join(heads, ["node", "_id", "_mark"], "left_semi").dropDuplicates(["node"])
-    places = sets.select("node", "size", F.posexplode("prefix").alias("at", "shingle"))
-    n = shuffle_partitions(docs.sparkSession)
-    dealt = places.select("shingle", "node", "size", "at").repartition(n, "shingle").sortWithinPartitions("shingle", "node")
-    kinds = "shingle long, node long, size int, at int, first_node long, first_size int, first_at int, many long"
-    met = stored(dealt.mapInArrow(_met, kinds))
-    fits = _can_match(F.col("size"), F.col("at"), F.col("first_size"), F.col("first_at"), F.least)
-    stars = stored(met.where(F.col("node") != F.col("first_node")).where(fits).select(F.col("first_node").alias("a"), F.col("node").alias("b")).distinct())
-    links = stored(_verified(stars, heads, rows))
+    head = F.min(F.struct("_id", "_mark")).alias("head")
+    heads = stored(marked.groupBy("node").agg(head, F.first("size").alias("size"), F.first("sketch").alias("sketch")).select("node", "size", "sketch", "head.*"))
+    sets = marked.where("size > 0").join(heads.select("node", "_id", "_mark"), ["node", "_id", "_mark"], "left_semi").dropDuplicates(["node"])
+    places = stored(sets.select("node", "size", F.posexplode("prefix").alias("at", "shingle")))
+    forget(marked)
+    first = F.min(F.struct("node", "size", "at")).alias("first")
+    shared = stored(places.groupBy("shingle").agg(first, F.count(F.lit(1)).alias("many")).where("many > 1"))
+    met = stored(places.join(shared, "shingle"))  # both sides stored: a hot shingle can be split
+    forget(places)
+    forget(shared)
+    fits = _can_match(F.col("size"), F.col("at"), F.col("first.size"), F.col("first.at"), F.least)
+    stars = stored(met.where("node <> first.node").where(fits).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
+    links = _verified(stars, heads, rows)
     roots = components(links)
-    rest = met.where("many > 2").join(roots, "node", "left").select("shingle", "node", "size", "at", F.coalesce("root", "node").alias("root"))
-    across = rest.repartition(n, "shingle").sortWithinPartitions("shingle", "node").mapInArrow(_across, "a long, b long")
-    more = stored(across.distinct().join(stars, ["a", "b"], "left_anti"))
+    rest = met.where("many > 2").join(roots, "node", "left").select("shingle", "many", "node", "size", "at", F.coalesce("root", "node").alias("root"))
+    n = shuffle_partitions(docs.sparkSession)
+    cells = _cells(rest).repartition(n, "shingle", "row", "column").sortWithinPartitions("shingle", "row", "column")
+    across = cells.mapInArrow(_across, "a long, b long").distinct()
+    more = stored(across.join(stars, ["a", "b"], "left_anti"))
+    for done in (met, stars, roots):
+        forget(done)
     roots = components(links.union(_verified(more, heads, rows)))
+    forget(more)
     placed = heads.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
-    chosen = placed.agg(F.min(F.struct("_id", "_mark")).alias("head")).select("head.*")
-    whole = docs.withColumns(identity).join(chosen, ["_id", "_mark"], "left_semi")
-    return whole.dropDuplicates(["_id", "_mark"]).select(*docs.columns)
+    chosen = stored(placed.agg(head).select("head.*"))
+    return whole.join(chosen, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select("doc.*")

@@ -1,5 +1,6 @@
 """Near copies of the pipeline against a comparison of all pairs."""
 
+import numpy as np
 import random
 
 import corpus_pipeline
@@ -51,3 +52,51 @@ def test_near_copies_match_all_pairs(spark, monkeypatch):
     assert links > 40 and got.columns == rows.columns
     assert {r["doc_id"] for r in got.collect()} == want
     assert corpus_pipeline.one_of_each_group(spark, rows.limit(0), "").collect() == []
+
+
+def test_sketches_never_refuse_a_near_copy():
+    rng = np.random.default_rng(3)
+    refused = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 1500))
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        gone = int(rng.integers(0, max(1, len(a) // 2)))
+        b = np.unique(np.r_[a[gone:], rng.integers(-(2**63), 2**63 - 1, int(rng.integers(0, max(1, n // 3))))])
+        bits = nearcopies.differing_bits(nearcopies.parity_sketch(a), nearcopies.parity_sketch(b))
+        assert bits <= len(np.setxor1d(a, b))
+        common = len(np.intersect1d(a, b))
+        near = 5 * common >= 4 * (len(a) + len(b) - common)
+        assert not near or 9 * bits <= len(a) + len(b)
+        refused += 9 * bits > len(a) + len(b)
+    assert refused > 100
+
+
+def test_shingles_of_many_sets_and_odd_columns(spark, monkeypatch):
+    """A grid of small blocks gives the groups of all pairs; repeated and null ids, clashing names, an empty table."""
+    monkeypatch.setattr(nearcopies, "GRID_ROWS", 3)
+    rng = np.random.default_rng(8)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    common, texts = words(9), []
+    for _ in range(40):
+        base = words(int(rng.integers(4, 60)))
+        texts.append(" ".join(common + base))
+        for _ in range(int(rng.integers(0, 3))):
+            changed = list(base)
+            changed[int(rng.integers(0, len(base)))] = "zz"
+            texts.append(" ".join(common + changed))
+    sets = [set(nearcopies.shingles(t).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    want = {min(i for i, g in enumerate(group) if g == x) for x in set(group)}
+    rows = [(i, t, 1, 2, "n") for i, t in enumerate(texts)]
+    rows += [(None, texts[0], 1, 2, "n"), (0, texts[0], 1, 2, "n"), (None, "alone " * 9, 1, 2, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, root int, doc string")
+    kept = nearcopies.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["_id"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(i, 1) for i in want] + [(None, 1)], key=str)
+    assert nearcopies.one_of_each(docs.limit(0)).collect() == []

@@ -224,11 +224,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     sets = marked.where("size > 0").join(heads.select("node", "_id", "_mark"), ["node", "_id", "_mark"], "left_semi").dropDuplicates(["node"])
     places = stored(sets.select("node", "size", F.posexplode("prefix").alias("at", "shingle")))
     forget(marked)
-    first = F.min(F.struct("node", "size", "at")).alias("first")
-    shared = stored(places.groupBy("shingle").agg(first, F.count(F.lit(1)).alias("many")).where("many > 1"))
-    met = stored(places.join(shared, "shingle"))  # both sides stored: a hot shingle can be split
+    shared = stored(places.groupBy("shingle").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
+    several = stored(places.join(shared, "shingle"))  # both sides stored: a hot shingle can be split
     forget(places)
     forget(shared)
+    firsts = stored(several.groupBy("shingle").agg(F.min(F.struct("node", "size", "at")).alias("first")))
+    met = stored(several.join(firsts, "shingle"))
+    forget(several)
+    forget(firsts)
     fits = _can_match(F.col("size"), F.col("at"), F.col("first.size"), F.col("first.at"), F.least)
     stars = stored(met.where("node <> first.node").where(fits).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _verified(stars, heads, rows)

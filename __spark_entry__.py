@@ -141,6 +141,12 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(run.fact_frame())
 
 
+def fact_orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the rate in force on the order date."""
+    rates = silver_plans.silver_exchange_rates(views.bronze(spark, sf_dir, "rate_history"))
+    return _plain(medallion.over_given_tables(spark, sf_dir).fact_frame(rates, "as_of"))
+
+
 def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.over_given_tables(spark, sf_dir).stored("gold", "fact_orders")
 
@@ -222,10 +228,15 @@ def topk_one_question(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def context_per_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = views.table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("vec_id"), F.col("text").alias("chunk_text")
-    )
-    return retrieval.contexts(_hits(spark, sf_dir, retrieval.CONTEXT_K), chunks)
+    """Vectors to places in documents, places to chunks, chunks to one context per question."""
+    places = views.view(spark, sf_dir, "vector_places")
+    return retrieval.chunk_contexts(_hits(spark, sf_dir, retrieval.CONTEXT_K), places, views.table(spark, sf_dir, "documents"))
+
+
+def context_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk behind each hit, with its place in the document."""
+    places = views.view(spark, sf_dir, "vector_places")
+    return retrieval.context_chunks(_hits(spark, sf_dir, retrieval.CONTEXT_K), places, views.table(spark, sf_dir, "documents"))
 
 
 def source_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +267,7 @@ def queries() -> dict[str, Query]:
         "dim_products": _from_silver(gold.dim_products, "products"),
         "dim_date": _from_silver(gold.dim_date, "orders"),
         "fact_orders": fact_orders,
+        "fact_orders_as_of": fact_orders_as_of,
         "cube_sales": _on_fact(cube.cube_sales),
         "cube_sales_grouping_id": _on_fact(lambda f: cube.cube_sales(f, with_grouping_id=True)),
         **{name: _on_fact(kpi, shares.get(name)) for name, kpi in kpis.KPIS.items()},
@@ -303,6 +315,7 @@ def queries() -> dict[str, Query]:
         "topk_vectors": topk_vectors,
         "topk_one_question": topk_one_question,
         "context_per_query": context_per_query,
+        "context_chunks": context_chunks,
         "source_list": source_list,
         **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }

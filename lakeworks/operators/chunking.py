@@ -40,6 +40,15 @@ def fixed_chunks(
     return docs.select(*[c for c in docs.columns if c != text], F.posexplode(new_part).alias("chunk_no", "chunk_text"))
 
 
+def located_chunks(
+    docs: DataFrame, text: str = "text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+) -> DataFrame:
+    """The fixed chunks with the characters ``start`` to ``end`` - 1 of the text they hold."""
+    start = (F.col("chunk_no") * (size - overlap)).cast("long")
+    chunks = fixed_chunks(docs, text, size, overlap).withColumn("start", start)
+    return chunks.withColumn("end", F.col("start") + F.length("chunk_text"))
+
+
 def _pieces(text: str, size: int, separators: Sequence[str]) -> Iterator[str | None]:
     """Break a text at the coarsest separator it contains, a piece that is still too long at finer ones.
 

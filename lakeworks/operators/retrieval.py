@@ -7,7 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeworks.functions.vectors import squared_distance
-from lakeworks.session import durable, shuffle_partitions
+from lakeworks.operators.chunking import CHUNK_SIZE, located_chunks
+from lakeworks.operators.intervals import points_in_intervals
+from lakeworks.operators.topk import best_per_task
+from lakeworks.session import durable
 
 # Link form of an article and the texts used where a part is absent.
 ARTICLE_URL = "https://pubmed.ncbi.nlm.nih.gov/%s/"
@@ -20,9 +23,6 @@ SOURCES_K = 3
 CONTEXT_K = 4
 CONTEXT_SEPARATOR = "\n\n"
 
-# Up to this many questions ride along with every task; more are joined block by block.
-INLINE_QUESTIONS = 256
-
 # Up to this many hits are broadcast to the chunk table; more are joined by shuffle.
 BROADCAST_HITS = 10_000
 
@@ -36,36 +36,17 @@ def article_documents(records: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(vectors: DataFrame, questions: DataFrame) -> DataFrame:
-    """Every vector beside every question, question_id and question_vector added.
-
-    A checked small question set is attached to each row as an array and unfolded there, without a
-    join. A larger one is repeated to numbered blocks of vectors and joined on the block number.
-    """
-    questions = durable(questions)
-    if questions.count() <= INLINE_QUESTIONS:
-        packed = questions.agg(F.collect_list(F.struct("question_id", "question_vector"))).scalar()
-        return vectors.select("*", F.inline(packed))
-    blocks = shuffle_partitions(vectors.sparkSession)
-    spread = vectors.withColumn("_block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)))
-    repeated = questions.select(
-        "question_id", "question_vector", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
-    )
-    return spread.join(repeated.withColumn("_block", F.col("_block").cast("long")), "_block").drop("_block")
-
-
 def nearest(
     vectors: DataFrame, questions: DataFrame, k: int = SOURCES_K, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The k nearest vectors per question: question_id, key, distance, rank.
 
-    Exact. Only (question, key, distance) leaves a task, and Spark keeps the best k per question
-    within each task before the shuffle. Ties go by key.
+    Exact. Each task reads its vectors in blocks and keeps the k best per question, without a row per pair; only these
+    are shuffled and ranked. Ties go by key. Vectors that are null, not finite or of another length take no part.
     """
-    distance = squared_distance(F.col(vector), F.col("question_vector"))
-    scored = _pairs(vectors.select(key, vector), questions).select("question_id", key, distance.alias("distance"))
     order = W.partitionBy("question_id").orderBy("distance", key)
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = best_per_task(vectors, questions, k, key, vector)
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def nearest_to(
@@ -98,6 +79,35 @@ def _ranked_texts(text: Column) -> Column:
     return F.transform(ordered, lambda x: x["text"])
 
 
+def _places_of(hits: DataFrame, places: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Hits with the document and the place their vector stands for, and the documents they are in."""
+    few = _hits(hits, key)
+    located = durable(few.join(places, key))
+    named = located.select("doc_id").distinct()
+    return located, F.broadcast(named) if located.count() <= BROADCAST_HITS else named
+
+
+def context_chunks(hits: DataFrame, places: DataFrame, docs: DataFrame, key: str = "vec_id") -> DataFrame:
+    """question_id, rank, doc_id, start, end, chunk_text: the first chunk that holds each hit's place.
+
+    ``places`` gives doc_id and place (a character offset) per key, ``docs`` doc_id and text. Only documents that were hit are
+    cut, and chunks meet hits by (document, stretch of text), so many hits in one long document are spread as well.
+    """
+    located, hit_docs = _places_of(hits, places, key)
+    chunks = located_chunks(docs.select("doc_id", "text").join(hit_docs, "doc_id", "left_semi"))
+    found = points_in_intervals(located, chunks, "doc_id", "place", "start", "end", CHUNK_SIZE)
+    first = found.groupBy("question_id", "rank", "doc_id").agg(F.min(F.struct("start", "end", "chunk_text")).alias("chunk"))
+    return first.select("question_id", "rank", "doc_id", "chunk.*")
+
+
+def chunk_contexts(hits: DataFrame, places: DataFrame, docs: DataFrame, key: str = "vec_id") -> DataFrame:
+    """The chunks of each question's hits, joined in rank order; hits without text leave no gap."""
+    chunks = context_chunks(hits, places, docs, key)
+    texts = chunks.groupBy("question_id").agg(F.array_join(_ranked_texts(F.col("chunk_text")), CONTEXT_SEPARATOR).alias("context"))
+    asked = hits.select("question_id").distinct()
+    return asked.join(texts, "question_id", "left").select("question_id", F.coalesce("context", F.lit("")).alias("context"))
+
+
 def contexts(hits: DataFrame, chunks: DataFrame, key: str = "vec_id", text: str = "chunk_text") -> DataFrame:
     """The retrieved chunk texts of each question, joined in rank order; hits without text leave no gap."""
     found = _hits(hits, key).join(chunks.select(key, text), key, "left")

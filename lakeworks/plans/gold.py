@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.functions.quality import iso_date
+from lakeworks.operators.asof import as_of_join
 from lakeworks.operators.joins import SLOT, HotKeys, fits_broadcast, skew_left_join, with_row_slot
 
 COMPLETED = "completed"
 
 COPY_BLOCK = 10_000
 
+RATE_POLICIES = ("all", "as_of")
+
 
 def dim_customers(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", "customer_name", "email", "country_code").distinct()
@@ -41,16 +44,26 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
 
 
 def fact_orders(
-    items: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame, rates: DataFrame
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    rates: DataFrame,
+    rate_policy: str = "all",
 ) -> DataFrame:
     """One row per order item, matching customer variant and matching exchange rate.
 
+    ``rate_policy`` "all" matches every rate of the product's currency; "as_of" the one in force on the order
+    date (the last that took effect on or before it, the greatest of several of one day), or none.
+
     Everything is kept: items without an order, product or rate have nulls, several rates of a
     currency and several variants of a customer repeat the row. Conversion follows the product's
     currency. Two choices keep the shuffles of the wide item rows down to two (order, product):
     the customer join needs only the number of variants and hangs on the order, so it is made on the
     orders; and the rates, which multiply rows, come last, as a broadcast of checked size.
     """
+    if rate_policy not in RATE_POLICIES:
+        raise ValueError(f"rate_policy is one of {RATE_POLICIES}, not {rate_policy}")
     item_keys, order_keys = HotKeys(items, "order_id", "product_id"), HotKeys(orders, "customer_id", "order_id")
     variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants"))
     placed = orders.select(
@@ -76,8 +89,9 @@ def fact_orders(
         right_slot="_order_slot",
     )
     priced = products.select("product_id", "currency")
+    as_of = rate_policy == "as_of"
     per_currency = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd")
-    few_rates = fits_broadcast(per_currency)
+    few_rates = as_of or fits_broadcast(per_currency)
     if not few_rates:
         # Few currencies share many rates: pair them with the products, not with the wider item rows.
         priced = skew_left_join(with_row_slot(priced), per_currency, "currency").withColumnRenamed(SLOT, "_product_slot")
@@ -89,7 +103,12 @@ def fact_orders(
         hot_right=HotKeys(products, "product_id"),
         right_slot=None if few_rates else "_product_slot",
     )
-    with_rate = with_product.join(F.broadcast(per_currency), "currency", "left") if few_rates else with_product
+    if as_of:
+        dated = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd", "effective_date")
+        days = (iso_date(F.col(name)) for name in ("order_date", "effective_date"))
+        with_rate = as_of_join(with_product, dated, "currency", *days, ["exchange_rate_to_usd"])
+    else:
+        with_rate = with_product.join(F.broadcast(per_currency), "currency", "left") if few_rates else with_product
     usd = F.col("unit_price") * F.col("exchange_rate_to_usd")
     line = F.col("quantity") * F.col("unit_price") * F.col("exchange_rate_to_usd")
     return _repeat(with_rate, F.coalesce("variants", F.lit(1))).select(

@@ -70,13 +70,15 @@ class Medallion:
         }
         return _together(made, lambda name: self._save(made[name], "gold", name))
 
-    def fact_frame(self) -> DataFrame:
+    def fact_frame(self, rates: DataFrame | None = None, rate_policy: str = "all") -> DataFrame:
+        """The fact from the stored layers; ``rates`` takes the place of the stored exchange rates."""
         return gold.fact_orders(
             self.stored("silver", "silver_order_items"),
             self.stored("silver", "silver_orders"),
             self.stored("gold", "dim_products"),
             self.stored("gold", "dim_customers"),
-            self.stored("silver", "silver_exchange_rates"),
+            self.stored("silver", "silver_exchange_rates") if rates is None else rates,
+            rate_policy,
         )
 
     def fact(self) -> DataFrame:

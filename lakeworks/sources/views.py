@@ -65,6 +65,23 @@ SELECT currency_code, cast(rate AS decimal(9,4)) AS exchange_rate_to_usd, effect
  ('USD', 1.0, '2024-01-01'), ('EUR', 1.08, '01/06/2024'), ('EUR', 1.1, '25/06/2024'), ('INR', 0.012, '06-30-2024'), ('GBP', 1.27, '30-06-2024')) AS t(currency_code, rate, effective_date)
 """
 
+# Rates by day: two of one day at the start of a month, the rupee only from mid-1994, no yen, some days unreadable.
+RATE_HISTORY = """
+SELECT CASE k WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'INR' WHEN 3 THEN 'GBP' END AS currency_code,
+ cast(cast(5000 + n % 5000 + extra AS double) / 10000 AS decimal(9,4)) AS exchange_rate_to_usd,
+ CASE WHEN n % 37 = 0 THEN 'soon' WHEN n % 2 = 0 THEN yy || '-' || mm || '-' || dd ELSE mm || '/' || dd || '/' || yy END AS effective_date
+FROM (SELECT o_custkey % 5 AS k, o_orderdate, 0 AS extra, min(o_orderkey) AS n, lpad(cast(month(o_orderdate) AS string), 2, '0') AS mm,
+  lpad(cast(day(o_orderdate) AS string), 2, '0') AS dd, cast(year(o_orderdate) AS string) AS yy FROM orders GROUP BY o_custkey % 5, o_orderdate
+ UNION ALL SELECT o_custkey % 5 AS k, o_orderdate, 7 AS extra, min(o_orderkey) AS n, lpad(cast(month(o_orderdate) AS string), 2, '0') AS mm,
+  lpad(cast(day(o_orderdate) AS string), 2, '0') AS dd, cast(year(o_orderdate) AS string) AS yy FROM orders WHERE day(o_orderdate) = 1 GROUP BY o_custkey % 5, o_orderdate) r
+WHERE k <> 2 OR o_orderdate >= cast('1994-06-15' AS date)
+"""
+
+# Where each vector's text stands: a place in the document of the same number.
+VECTOR_PLACES = """
+SELECT vec_id, doc_id, cast((vec_id * 977) % greatest(length(text), 1) AS bigint) AS place FROM embeddings JOIN documents ON doc_id = vec_id
+"""
+
 PITCHES = """
 SELECT o_orderkey AS pitch_id, o_orderstatus = 'F' AS deal,
  cast(NULL AS string) AS description, c_mktsegment AS category,
@@ -85,6 +102,8 @@ VIEWS = {
     "order_items_bronze": ORDER_ITEMS,
     "products_bronze": PRODUCTS,
     "exchange_rates_bronze": EXCHANGE_RATES,
+    "rate_history_bronze": RATE_HISTORY,
+    "vector_places": VECTOR_PLACES,
     "pitches": PITCHES,
 }
 
@@ -99,7 +118,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived view over the given tables of a folder."""
     text = VIEWS[name]
-    for base in ("customer", "nation", "orders", "lineitem", "part"):
+    for base in ("customer", "nation", "orders", "lineitem", "part", "documents", "embeddings"):
         table(spark, sf_dir, base).createOrReplaceTempView(base)
     return spark.sql(text)
 

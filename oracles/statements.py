@@ -31,7 +31,7 @@ def _iso(column: str) -> str:
     return f"coalesce(strftime(coalesce({tries}), '%Y-%m-%d'), {column}) AS {column}"
 
 
-def _silver(name: str) -> str:
+def _silver(name: str, table: str | None = None) -> str:
     rule = RULES[name]
     columns = [
         _present(c, rule.checks[c]) if c in rule.checks else _iso(c) if c == rule.date else c for c in rule.columns
@@ -40,7 +40,7 @@ def _silver(name: str) -> str:
         bad = " OR ".join(_missing(c, mark) for c, mark in rule.checks.items())
         columns.append(f"cast(CASE WHEN {bad} THEN 0 ELSE 1 END AS INTEGER) AS is_valid")
     where = f" WHERE {rule.key} IS NOT NULL" if rule.key else ""
-    return f"SELECT {', '.join(columns)} FROM {name}_bronze{where}"
+    return f"SELECT {', '.join(columns)} FROM {table or name}_bronze{where}"
 
 
 _STATUS_ROWS = ", ".join(f"('{raw}', '{std}')" for std, raws in STATUS_WORDS.items() for raw in raws)
@@ -57,6 +57,30 @@ LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
 LEFT JOIN silver_exchange_rates r ON r.currency_code = p.currency
 """
 
+# The rate of the last day with one, up to the order date: each rate is in force until the next day with one.
+_IN_FORCE = """
+SELECT currency_code, since, lead(since) OVER (PARTITION BY currency_code ORDER BY since) AS until, rate FROM
+ (SELECT currency_code, try_strptime(effective_date, '%Y-%m-%d') AS since, max(exchange_rate_to_usd) AS rate FROM silver_rate_history
+  WHERE currency_code IS NOT NULL AND try_strptime(effective_date, '%Y-%m-%d') IS NOT NULL GROUP BY 1, 2)
+"""
+_FACT_AS_OF = """
+SELECT l.order_id, l.customer_id, l.product_id, l.order_date, l.status, l.country, l.channel, cast(l.quantity AS DOUBLE) AS quantity,
+ cast(l.unit_price AS DOUBLE) AS local_price, cast(round(l.unit_price * r.rate, 2) AS DOUBLE) AS price_usd,
+ cast(round(l.quantity * l.unit_price * r.rate, 2) AS DOUBLE) AS revenue_usd
+FROM (SELECT i.order_id, o.customer_id, i.product_id, o.order_date, o.standard_status AS status, o.country_code AS country,
+  o.channel, i.quantity, i.unit_price, p.currency, try_strptime(o.order_date, '%Y-%m-%d') AS d FROM silver_order_items i
+ LEFT JOIN silver_orders o ON i.order_id = o.order_id
+ LEFT JOIN dim_products p ON i.product_id = p.product_id
+ LEFT JOIN dim_customers c ON o.customer_id = c.customer_id) l
+LEFT JOIN in_force r ON r.currency_code = l.currency AND r.since <= l.d AND (r.until IS NULL OR r.until > l.d)
+"""
+
+_CONTEXT_CHUNKS = """
+SELECT question_id, rank, doc_id, 600 * i AS start, 600 * i + length(substring(text, 600 * i + 1, 700)) AS "end", substring(text, 600 * i + 1, 700) AS chunk_text
+FROM (SELECT *, CASE WHEN place < 700 THEN 0 ELSE (place - 700) // 600 + 1 END AS i FROM context_hits JOIN vector_places USING (vec_id) JOIN documents USING (doc_id))
+WHERE length(text) > 0
+"""
+
 _CHUNK_SOURCES = """
 SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN NULL ELSE 'Topic ' || cast(label AS string) END AS title,
  CASE WHEN vec_id % 11 = 0 THEN NULL ELSE 'https://example.org/' || cast(label AS string) || '/' || cast(vec_id % 2 AS string) END AS source
@@ -127,6 +151,8 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         _FACT,
         ("silver_order_items", "silver_orders", "dim_products", "dim_customers", "silver_exchange_rates"),
     ),
+    "silver_rate_history": (_silver("exchange_rates", "rate_history"), ("rate_history_bronze",)),
+    "in_force": (_IN_FORCE, ("silver_rate_history",)),
     "pitch_clean": (_CLEAN, ("pitches",)),
     "features": (_FEATURES, ("pitch_clean",)),
     "articles": (ARTICLES, ()),
@@ -374,6 +400,9 @@ def statements() -> dict[str, str]:
     out["fact_orders"] = _sql(
         f"SELECT {_replace(('quantity', 'local_price', 'price_usd', 'revenue_usd'))} FROM fact_orders", "fact_orders"
     )
+    out["fact_orders_as_of"] = _sql(
+        _FACT_AS_OF, "silver_order_items", "silver_orders", "dim_products", "dim_customers", "in_force"
+    )
     out["cube_sales"] = _sql(_CUBE.format(dims=_CUBE_DIMS, extra=""), "fact_orders")
     out["cube_sales_grouping_id"] = _sql(
         _CUBE.format(
@@ -490,9 +519,12 @@ SELECT vec_id, round(list_distance(cast(embedding AS DOUBLE[]), question) ** 2,
   (SELECT unnest(cast(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i))
 ORDER BY list_distance(cast(embedding AS DOUBLE[]), question), vec_id LIMIT 3
 """
+    out["context_chunks"] = _sql(_CONTEXT_CHUNKS, "context_hits", "vector_places")
     out["context_per_query"] = _sql(
-        "SELECT question_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY rank), '') AS context FROM context_hits LEFT JOIN documents ON doc_id = vec_id GROUP BY question_id",
+        f"""SELECT question_id, coalesce(string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank), '') AS context
+ FROM (SELECT DISTINCT question_id FROM context_hits) LEFT JOIN ({_CONTEXT_CHUNKS}) USING (question_id) GROUP BY question_id""",
         "context_hits",
+        "vector_places",
     )
     out["source_list"] = _sql(
         f"""SELECT question_id, min(rank) AS rank, arg_min(title, rank) AS title, source FROM

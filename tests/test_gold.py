@@ -119,8 +119,25 @@ def test_skewed_join_equals_a_plain_left_join(spark, monkeypatch, left_third, ri
 def test_hot_keys_get_slots_by_their_share(spark):
     rows = keyed(spark, 9000, "hot", "v").withColumn("c", F.col("v") % 2)
     found = joins.HotKeys(rows, "k", "c", parts=12)
-    assert found.of("k") == {"hot": 4} and found.of("c") == {0: 6, 1: 6}
-    assert joins.HotKeys(rows.limit(0), "k", parts=12).of("k") == {}
+    assert dict(map(tuple, found.of("k").collect())) == {"hot": 4} and dict(map(tuple, found.of("c").collect())) == {0: 6, 1: 6}
+    assert joins.HotKeys(rows.limit(0), "k", parts=12).of("k") is None
+
+
+@pytest.mark.parametrize("looked_at", [1, 32])
+def test_hot_keys_without_a_limit_on_their_number(spark, monkeypatch, looked_at):
+    """2,000 hot keys among 100,000 partitions, found over all rows or from a sample, and the join laid out by them."""
+    monkeypatch.setattr(joins, "LOOKED_AT", looked_at)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    rows = spark.range(240_000).selectExpr("if(id < 200000, id % 2000, id) as k", "id as v")
+    found = joins.HotKeys(rows, "k", parts=100_000).of("k")
+    got = dict(map(tuple, found.collect()))
+    assert {k: n for k, n in got.items() if k < 2000} == {k: 42 for k in range(2000)} and len(got) == 2000
+    left = joins.with_row_slot(rows).where("v % 5 = 0")
+    right = spark.range(0, 3000).selectExpr("id as k", "id * 2 as w")
+    joined = joins.skew_left_join(left, right, "k", parts=100_000, hot_left=joins.HotKeys(rows, "k", parts=100_000), unique_right=True)
+    totals = joined.agg(F.count("*"), F.count("w"), F.sum("w"), F.sum("v")).first()
+    plain = left.join(right, "k", "left").agg(F.count("*"), F.count("w"), F.sum("w"), F.sum("v")).first()
+    assert tuple(totals) == tuple(plain)
 
 
 def test_a_hot_key_leaves_in_many_partitions(spark, monkeypatch):

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeworks.operators import chunking, retrieval
+from lakeworks.operators import chunking, retrieval, topk
+from lakeworks.operators.intervals import points_in_intervals
 from lakeworks.sources import views
 
 
@@ -111,9 +112,10 @@ def brute_force(vectors, questions, k):
     return out
 
 
-@pytest.mark.parametrize("inline", [256, 0])
-def test_nearest_equals_brute_force(spark, vectors, monkeypatch, inline):
-    monkeypatch.setattr(retrieval, "INLINE_QUESTIONS", inline)
+@pytest.mark.parametrize(("block", "pairs"), [(32 << 20, 1 << 21), (1500, 64)])
+def test_nearest_equals_brute_force(spark, vectors, monkeypatch, block, pairs):
+    monkeypatch.setattr(topk, "QUESTION_BYTES", block)
+    monkeypatch.setattr(topk, "PAIRS", pairs)
     questions = retrieval.topic_questions(vectors)
     got = {}
     for r in retrieval.nearest(vectors, questions, 4).orderBy("question_id", "rank").collect():
@@ -121,9 +123,44 @@ def test_nearest_equals_brute_force(spark, vectors, monkeypatch, inline):
     assert got == brute_force(vectors, questions, 4)
 
 
-def test_nearest_keeps_the_best_within_each_task(spark, vectors):
-    plan = retrieval.nearest(vectors, retrieval.topic_questions(vectors), 3)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_nearest_sorts_no_pairs(spark, vectors):
+    plan = retrieval.nearest(vectors, retrieval.topic_questions(vectors), 3)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("MapInArrow", 1)
+    assert "Window" in above and not any(word in below for word in ("Window", "Sort", "Join", "Generate"))
+
+
+def test_nearest_with_odd_vectors_and_ties(spark):
+    nan = float("nan")
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [1.0, 0.0]), ("n", None), ("x", [nan, 0.0]), ("s", [1.0]), ("m", [None, 1.0]), ("z", [9.0, 9.0])]
+    vectors = spark.createDataFrame(rows, "vec_id string, embedding array<float>")
+    questions = spark.createDataFrame([("q", [1.0, 0.0]), ("none", None), ("far", [1e8, 1e8])], "question_id string, question_vector array<double>")
+    got = [(r.question_id, r.vec_id, r["rank"]) for r in retrieval.nearest(vectors, questions, 2).orderBy("question_id", "rank").collect()]
+    assert got == [("far", "z", 1), ("far", "a", 2), ("q", "a", 1), ("q", "b", 2)]
+    assert retrieval.nearest(vectors, questions.limit(0), 2).collect() == []
+    assert len(retrieval.nearest(vectors, questions, 50).collect()) == 8
+
+
+def test_points_meet_the_intervals_that_hold_them(spark):
+    rng = np.random.default_rng(1)
+    spans = [(int(k), int(a), int(a + n)) for k, a, n in zip(rng.integers(0, 3, 80), rng.integers(0, 500, 80), rng.integers(0, 60, 80))]
+    places = [(int(k), int(x)) for k, x in zip(rng.integers(0, 4, 200), rng.integers(0, 600, 200))]
+    intervals = spark.createDataFrame(spans, "k long, start long, end long")
+    points = spark.createDataFrame([*places, (None, 3), (1, None)], "k long, at long")
+    for width in (7, 60, 10_000):
+        got = sorted(map(tuple, points_in_intervals(points, intervals, "k", "at", "start", "end", width).select("k", "at", "start", "end").collect()))
+        assert got == sorted((k, x, a, b) for k, x in places for j, a, b in spans if j == k and a <= x < b)
+
+
+def test_contexts_are_chunks_at_the_hits(spark):
+    text = "".join(f"{i:05d}" for i in range(600))
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, ""), (4, None)], "doc_id long, text string")
+    places = spark.createDataFrame([(10, 1, 0), (11, 1, 699), (12, 1, 700), (13, 1, 2999), (14, 2, 4), (15, 3, 0), (16, 4, 0)], "vec_id long, doc_id long, place long")
+    hits = spark.createDataFrame([(1, i + 1, v) for i, v in enumerate([10, 11, 12, 13, 14, 15, 16, 99])] + [(2, 1, 99)], "question_id int, rank int, vec_id long")
+    rows = retrieval.context_chunks(hits, places, docs).orderBy("rank").collect()
+    assert [(r["rank"], r["start"], r["end"]) for r in rows] == [(1, 0, 700), (2, 0, 700), (3, 600, 1300), (4, 2400, 3000), (5, 0, 5)]
+    assert all(r.chunk_text == (text if r.doc_id == 1 else "short")[r["start"] : r["end"]] and len(r.chunk_text) <= 700 for r in rows)
+    joined = dict(map(tuple, retrieval.chunk_contexts(hits, places, docs).collect()))
+    assert joined == {1: "\n\n".join(r.chunk_text for r in rows), 2: ""}
 
 
 def test_single_question_is_an_ordered_top_k(spark, vectors):

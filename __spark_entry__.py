@@ -79,12 +79,31 @@ def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_checked_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write a table, write it again under the schema check, and read it back."""
+    """The silver customers written as a table, replaced by its valid rows under the schema check, and read back."""
     run = medallion.over_given_tables(spark, sf_dir)
-    rows = silver_plans.silver_exchange_rates(views.bronze(spark, sf_dir, "exchange_rates"))
-    table = f"{run.layers['silver']}.rates_checked"
-    lakehouse.save_same_schema(rows, table)
-    return _plain(lakehouse.save_same_schema(rows, table))
+    table = f"{run.layers['silver']}.customers_checked"
+    lakehouse.save(run.stored("silver", "silver_customers").drop(*silver_plans.LINEAGE), table)
+    return lakehouse.save_same_schema(spark.table(table).where("is_valid = 1"), table)
+
+
+def schema_refused_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of an overwrite with other columns, and the rows of the table that it left alone."""
+    run = medallion.over_given_tables(spark, sf_dir)
+    table = f"{run.layers['silver']}.customers_kept"
+    lakehouse.save(run.stored("silver", "silver_customers").drop(*silver_plans.LINEAGE), table)
+    other = spark.table(table).selectExpr("cast(customer_id AS bigint) AS customer_id", "customer_name", "registration_date", "country_code", "channel", "is_valid", "1 AS score")
+    verdicts = lakehouse.checked_overwrite(other, table)
+    return verdicts.crossJoin(F.broadcast(spark.table(table).agg(F.count(F.lit(1)).alias("n_rows"))))  # one row
+
+
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and types of all columns of the given tables."""
+    return lakehouse.column_listing({name: views.table(spark, sf_dir, name) for name in views.TABLES})
+
+
+def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first cleaned orders by number."""
+    return _plain(lakehouse.preview(silver_plans.SILVER["orders"](views.bronze(spark, sf_dir, "orders")), 5, ["order_id", "customer_id"]))
 
 
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,11 +189,15 @@ def _on_features(build: Callable[[DataFrame], DataFrame], digits: dict[str, int]
     return _on_pitches(lambda raw: build(study.with_features(study.clean(raw))), digits)
 
 
+def _on_second(build: Callable[[DataFrame], DataFrame], digits: dict[str, int] | None = None) -> Query:
+    """The second study drops fewer rows: a pitch without a stake stays."""
+    return _on_pitches(lambda raw: build(study.with_features(study.clean(raw, study.SECOND_REQUIRED))), digits)
+
+
 def pitch_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pitches written as CSV and read back with inferred types."""
-    columns = [c for c in statements.PITCH_COLUMNS if c not in ("description", "shark3", "shark4", "shark5")]
     path = lakehouse.write_csv(
-        _pitches(spark, sf_dir).select(*columns), f"{work_folder(spark)}/csv-{abs(hash(sf_dir))}"
+        _pitches(spark, sf_dir).select(*statements.PITCH_COLUMNS), f"{work_folder(spark)}/csv-{abs(hash(sf_dir))}"
     )
     back = lakehouse.read_csv(spark, path)
     return back.withColumn("pitch_id", F.col("pitch_id").cast("long"))
@@ -259,10 +282,13 @@ def queries() -> dict[str, Query]:
         "bronze_ingest": bronze_ingest,
         "source_lineage": source_lineage,
         "table_shape": table_shape,
+        "column_types": column_types,
+        "preview_orders": preview_orders,
         "schema_checked_overwrite": schema_checked_overwrite,
+        "schema_refused_overwrite": schema_refused_overwrite,
         **{f"silver_{name}": _silver(name) for name in silver_plans.SILVER},
         "validity_summary": validity_summary,
-        "missing_profile": _on_pitches(lambda raw: profile.missing_profile(raw.drop("description"))),
+        "missing_profile": _on_pitches(profile.missing_profile),
         "dim_customers": _from_silver(gold.dim_customers, "customers"),
         "dim_products": _from_silver(gold.dim_products, "products"),
         "dim_date": _from_silver(gold.dim_date, "orders"),
@@ -274,7 +300,7 @@ def queries() -> dict[str, Query]:
         "kpi_scorecard": _on_fact(kpis.scorecard, _six("completed_order_rate")),
         "pitch_clean": _on_pitches(study.clean),
         "pitch_features": _on_features(lambda f: f, ratios),
-        "pitch_dropna_all": _on_pitches(lambda raw: study.complete_rows(raw.drop("description", *study.SHARKS))),
+        "pitch_dropna_all": _on_pitches(study.complete_rows),
         "pitch_csv_roundtrip": pitch_csv_roundtrip,
         "describe_numeric": _on_pitches(
             lambda raw: profile.describe(raw, study.NUMERIC), {**_six("mean", "q25", "q50", "q75"), "std": 4}
@@ -283,14 +309,14 @@ def queries() -> dict[str, Query]:
         "value_counts_raw": _on_pitches(lambda raw: profile.class_shares(raw, "deal")),
         "overall_rate": _on_pitches(lambda raw: profile.overall_rate(raw.withColumn("deal", study.flag_from_text(F.col("deal"))), "deal")),
         "rate_by_category": _on_features(study.category_rates, _six("deal_rate")),
-        "top_categories": _on_features(lambda f: profile.top_rates(f, "category", "deal"), _six("deal_rate")),
+        "top_categories": _on_second(lambda f: profile.top_rates(f, "category", "deal"), _six("deal_rate")),
         "rate_by_season": _on_features(study.season_rates),
         "season_extremes": _on_features(study.season_extremes),
-        "rate_by_investor": _on_features(study.rate_by_investor, _six("success_rate")),
+        "rate_by_investor": _on_second(study.rate_by_investor, _six("success_rate")),
         "rate_comparison": _on_features(study.rate_comparisons, _six("rate_off", "rate_on", "difference")),
         "ttest_by_outcome": _on_features(study.t_tests, _six("mean_yes", "mean_no", "t_statistic")),
         "group_range_test": _on_features(study.range_tests),
-        "ratio_by_outcome": _on_features(study.ratio_by_outcome, _six("success_ratio", "failure_ratio")),
+        "ratio_by_outcome": _on_second(study.ratio_by_outcome, _six("success_ratio", "failure_ratio")),
         "hypothesis_summary": _on_features(study.hypothesis_summary, _six("measure")),
         "feature_correlation": _on_features(study.correlations),
         "train_test_split": _on_features(
@@ -301,14 +327,14 @@ def queries() -> dict[str, Query]:
             lambda f: inference.additive_predictions(f, *OLS, key="pitch_id"), {"prediction": 4}
         ),
         "histogram_by_outcome": _on_features(study.histograms, edges),
-        "histogram_ratio": _on_features(study.ratio_histogram, edges),
+        "histogram_ratio": _on_second(study.ratio_histogram, edges),
         "boxplot_by_outcome": _on_features(study.box_plots, box),
-        "boxplot_ratio": _on_features(study.ratio_box, box),
+        "boxplot_ratio": _on_second(study.ratio_box, box),
         "boxplot_outliers": _on_features(study.box_outliers, _six("x")),
         "above_average_groups": _on_features(
             lambda f: profile.against_average(f, "category", "deal"), _six("rate_pct")
         ),
-        "scatter_points": _on_features(study.scatter_points),
+        "scatter_points": _on_second(study.scatter_points),
         "article_documents": article_documents,
         "chunk_fixed": chunk_fixed,
         "chunk_recursive": chunk_recursive,

@@ -43,6 +43,8 @@ HYPOTHESES = [
 
 MONEY = ("askedfor", "exchangeforstake", "valuation")
 SHARKS = ["shark1", "shark2", "shark3", "shark4", "shark5"]
+# What the second study asks of a row; a pitch without a stake counts there.
+SECOND_REQUIRED = ("deal", "askedfor", "valuation")
 TESTED = ["exchangeforstake", "valuation_ask_ratio", "askedfor"]
 NUMERIC = ["askedfor", "exchangeforstake", "valuation", "season", "has_website"]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +55,52 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema]
 
 
+SAME = "same"
+
+
+def schema_verdicts(old: T.StructType, new: T.StructType) -> list[tuple[str, str | None, str | None, str]]:
+    """(column, old type, new type, verdict) of every column of either schema: same, moved, retyped, dropped or added."""
+    before, after = dict(_shape(old)), dict(_shape(new))
+    rows = []
+    for name, kind in before.items():
+        now = after.get(name)
+        at_home = name in after and old.names.index(name) == new.names.index(name)
+        verdict = "dropped" if now is None else "retyped" if now != kind else SAME if at_home else "moved"
+        rows.append((name, kind, now, verdict))
+    return rows + [(name, None, kind, "added") for name, kind in after.items() if name not in before]
+
+
+def checked_overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
+    """Replace the rows of a table if its schema stays as it is, and tell the verdict per column; create it if absent.
+
+    The rows are first written to a staging table beside it, which then takes its name: a refused or failed write leaves the old
+    table whole, and ``df`` may read the table it replaces. Verdicts other than "same" mean that nothing was changed.
+    """
+    spark = df.sparkSession
+    old = spark.table(table).schema if spark.catalog.tableExists(table) else df.schema
+    rows = schema_verdicts(old, df.schema)
+    verdicts = spark.createDataFrame(rows, "column_name string, old_type string, new_type string, verdict string")
+    if any(row[-1] != SAME for row in rows):
+        return verdicts
+    staging, retired = f"{table}__new", f"{table}__old"
+    for leftover in (staging, retired):  # of a run that failed half-way
+        if leftover == retired and spark.catalog.tableExists(retired) and not spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {retired} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+    df.write.format(fmt).saveAsTable(staging)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {retired}")
+    return verdicts
+
+
 def save_same_schema(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
     """Replace the rows of a table only if names and types stay as they are; create it if absent."""
-    spark = df.sparkSession
-    if spark.catalog.tableExists(table) and _shape(spark.table(table).schema) != _shape(df.schema):
-        raise SchemaMismatch(f"{table}: {_shape(spark.table(table).schema)} cannot take {_shape(df.schema)}")
-    return save(df, table, fmt)
+    bad = checked_overwrite(df, table, fmt).where(F.col("verdict") != SAME).collect()  # one row per column
+    if bad:
+        raise SchemaMismatch(f"{table}: {', '.join(f'{r.column_name} {r.verdict}' for r in bad)}")
+    return df.sparkSession.table(table)
 
 
 def ingest(
@@ -87,9 +127,18 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first rows, for display."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first rows, for display; along ``order`` if given (a bounded top-n, not a sort)."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
+def column_listing(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """table_name, position (from 1), column_name, column_type of every column of the named frames."""
+    rows = [
+        (name, i, column, kind) for name, df in frames.items() for i, (column, kind) in enumerate(column_types(df), start=1)
+    ]
+    spark = next(iter(frames.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, column_type string")
 
 
 def column_types(df: DataFrame) -> list[tuple[str, str]]:

@@ -84,15 +84,16 @@ SELECT vec_id, doc_id, cast((vec_id * 977) % greatest(length(text), 1) AS bigint
 
 PITCHES = """
 SELECT o_orderkey AS pitch_id, o_orderstatus = 'F' AS deal,
- cast(NULL AS string) AS description, c_mktsegment AS category,
+ CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'Pitch "' || o_orderpriority || '", no. ' || cast(o_orderkey AS string) END AS description, c_mktsegment AS category,
  CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS askedfor,
- cast(1 + o_orderkey % 50 AS double) AS exchangeforstake,
+ CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE cast(1 + o_orderkey % 50 AS double) END AS exchangeforstake,
  CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_totalprice * (1 + o_custkey % 20) END AS valuation,
  cast(year(o_orderdate) - 1994 AS int) AS season,
  o_custkey % 2 = 0 AS multiple_entreprenuers, cast(o_orderkey % 3 = 0 AS int) AS has_website,
  CASE o_orderkey % 7 WHEN 0 THEN 'Barbara Corcoran' WHEN 1 THEN 'Kevin Harrington' WHEN 2 THEN 'mark cuban' WHEN 3 THEN 'Lori Greiner' ELSE NULL END AS shark1,
  CASE o_orderkey % 5 WHEN 0 THEN 'Robert Herjavec' WHEN 1 THEN 'Daymond John' ELSE NULL END AS shark2,
- cast(NULL AS string) AS shark3, cast(NULL AS string) AS shark4, cast(NULL AS string) AS shark5
+ CASE o_orderkey % 3 WHEN 0 THEN 'Barbara Corcoran' WHEN 1 THEN 'Kevin Harrington' ELSE NULL END AS shark3,
+ CASE WHEN o_orderkey % 2 = 0 THEN 'Lori Greiner' END AS shark4, CASE WHEN o_custkey % 4 < 2 THEN 'Nick, guest' END AS shark5
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
 

@@ -120,12 +120,14 @@ SELECT pitch_id, cast(deal AS INTEGER) AS deal, category, askedfor, exchangefors
 FROM pitches WHERE askedfor IS NOT NULL AND exchangeforstake IS NOT NULL AND valuation IS NOT NULL
 """
 
+_SECOND_CLEAN = _CLEAN.replace(" AND exchangeforstake IS NOT NULL", "")
+
 _FEATURES = """
 SELECT *, askedfor / valuation AS investment_ratio, valuation / askedfor AS valuation_ask_ratio,
  ln(1 + askedfor) AS log_askedfor, ln(1 + valuation) AS log_valuation,
  CASE WHEN season <= 2 THEN 'Early (S1-S2)' WHEN season <= 4 THEN 'Mid (S3-S4)' ELSE 'Late (S5-S6)' END AS season_group,
  concat_ws(',', shark1, shark2, shark3, shark4, shark5) AS all_sharks
-FROM pitch_clean
+FROM {clean}
 """
 
 _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -154,7 +156,9 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "silver_rate_history": (_silver("exchange_rates", "rate_history"), ("rate_history_bronze",)),
     "in_force": (_IN_FORCE, ("silver_rate_history",)),
     "pitch_clean": (_CLEAN, ("pitches",)),
-    "features": (_FEATURES, ("pitch_clean",)),
+    "features": (_FEATURES.format(clean="pitch_clean"), ("pitch_clean",)),
+    "second_clean": (_SECOND_CLEAN, ("pitches",)),
+    "second_features": (_FEATURES.format(clean="second_clean"), ("second_clean",)),
     "articles": (ARTICLES, ()),
     "chunk_sources": (CHUNK_SOURCES, ()),
     "questions": (_QUESTIONS, ()),
@@ -243,8 +247,8 @@ FROM ({_COMPARED})
 """
 
 
-def _rates(key: str) -> str:
-    return f"SELECT {key}, avg(deal) AS deal_rate, count(deal) AS total_pitches, round(avg(deal) * 100, 2) AS deal_rate_pct FROM features WHERE {key} IS NOT NULL GROUP BY {key}"
+def _rates(key: str, rows: str = "features") -> str:
+    return f"SELECT {key}, avg(deal) AS deal_rate, count(deal) AS total_pitches, round(avg(deal) * 100, 2) AS deal_rate_pct FROM {rows} WHERE {key} IS NOT NULL GROUP BY {key}"
 
 
 def _range(key: str, verdict: str) -> str:
@@ -276,7 +280,7 @@ _CORRELATED = " UNION ALL ".join(
 OLS_FEATURES = ["exchangeforstake", "valuation_ask_ratio", "season"]
 OLS_TARGET = "askedfor"
 
-_TRAIN = "SELECT *, row_number() OVER (ORDER BY pitch_id) <= floor(0.7 * count(*) OVER ()) AS is_train FROM features"
+_TRAIN = "SELECT *, row_number() OVER (ORDER BY pitch_id) <= floor(cast(0.7 AS DOUBLE) * count(*) OVER ()) AS is_train FROM features"
 _OLS = " UNION ALL ".join(
     f"SELECT '{f}' AS feature, regr_slope({OLS_TARGET}, {f}) AS slope, regr_intercept({OLS_TARGET}, {f}) AS intercept, avg({f}) AS x_mean FROM split WHERE is_train"
     for f in OLS_FEATURES
@@ -326,7 +330,7 @@ SELECT {keys}, {_six('q1', 'median', 'q3', 'whisker_low', 'whisker_high')}, n_ou
 """
 
 
-_RATIO = "SELECT 'investment_ratio' AS feature, investment_ratio AS x FROM features"
+_RATIO = "SELECT 'investment_ratio' AS feature, investment_ratio AS x FROM second_features"
 
 
 def _describe() -> str:
@@ -369,6 +373,24 @@ _WIDTHS = {
 }
 
 
+# The overwrite lacks the email, which moves the later columns up, reads the number as a number and brings a score.
+_REFUSED = """
+SELECT column_name, old_type, new_type, verdict, (SELECT count(*) FROM silver_customers) AS n_rows FROM (VALUES
+ ('customer_id', 'string', 'bigint', 'retyped'), ('customer_name', 'string', 'string', 'same'), ('email', 'string', NULL, 'dropped'),
+ ('registration_date', 'string', 'string', 'moved'), ('country_code', 'string', 'string', 'moved'), ('channel', 'string', 'string', 'moved'),
+ ('is_valid', 'int', 'int', 'moved'), ('score', NULL, 'int', 'added')) AS t(column_name, old_type, new_type, verdict)
+"""
+
+
+def _types(name: str) -> str:
+    """Columns of a table, with the names Spark has for DuckDB's types."""
+    words = {"VARCHAR": "string", "INTEGER": "int", "FLOAT[]": "array<float>", "DOUBLE[]": "array<double>"}
+    cases = " ".join(f"WHEN '{duck}' THEN '{spark}'" for duck, spark in words.items())
+    return f"""SELECT '{name}' AS table_name, cast(row_number() OVER () AS INTEGER) AS position, column_name,
+ CASE WHEN column_type LIKE 'TIMESTAMP%' THEN CASE WHEN column_type LIKE '%ZONE' THEN 'timestamp' ELSE 'timestamp_ntz' END
+  ELSE CASE column_type {cases} ELSE lower(column_type) END END AS column_type FROM (DESCRIBE SELECT * FROM {name})"""
+
+
 def statements() -> dict[str, str]:
     out = {
         "table_shape": " UNION ALL ".join(
@@ -378,9 +400,12 @@ def statements() -> dict[str, str]:
             " UNION ALL ".join(_content(name) for name in RULES), *[f"{name}_bronze" for name in RULES]
         ),
         "source_lineage": "SELECT 'lineitem.parquet' AS source_file_name, true AS stamped, count(*) AS n_rows FROM lineitem",
-        "schema_checked_overwrite": _sql(
-            f"SELECT {_replace(('exchange_rate_to_usd',))} FROM silver_exchange_rates", "silver_exchange_rates"
+        "column_types": " UNION ALL ".join(_types(t) for t in _WIDTHS),
+        "preview_orders": _sql(
+            f"SELECT {_replace(('total_amount',))} FROM silver_orders ORDER BY order_id NULLS FIRST, customer_id NULLS FIRST LIMIT 5", "silver_orders"
         ),
+        "schema_checked_overwrite": _sql("SELECT * FROM silver_customers WHERE is_valid = 1", "silver_customers"),
+        "schema_refused_overwrite": _sql(_REFUSED, "silver_customers"),
     }
     for name in RULES:
         out[f"silver_{name}"] = _sql(f"SELECT {_replace(_SILVER_MONEY[name])} FROM silver_{name}", f"silver_{name}")
@@ -389,7 +414,7 @@ def statements() -> dict[str, str]:
         " UNION ALL ".join(f"SELECT '{n}' AS table_name, is_valid, count(*) AS n_rows FROM silver_{n} GROUP BY is_valid" for n in flagged),
         *[f"silver_{n}" for n in flagged],
     )
-    out["missing_profile"] = _sql(_gaps([c for c in PITCH_COLUMNS if c != "description"]), "pitches")
+    out["missing_profile"] = _sql(_gaps(PITCH_COLUMNS), "pitches")
     out["dim_customers"] = _sql("SELECT * FROM dim_customers", "dim_customers")
     out["dim_products"] = _sql(f"SELECT {_replace(('price',))} FROM dim_products", "dim_products")
     out["dim_date"] = _sql(
@@ -434,11 +459,11 @@ def statements() -> dict[str, str]:
         f"SELECT * REPLACE ({_six('investment_ratio', 'valuation_ask_ratio', 'log_askedfor', 'log_valuation')}) FROM features",
         "features",
     )
-    kept = [c for c in PITCH_COLUMNS if c not in ("description", *study.SHARKS)]
+    listed = ", ".join(PITCH_COLUMNS)
     out["pitch_dropna_all"] = _sql(
-        f"SELECT {', '.join(kept)} FROM pitches WHERE {' AND '.join(f'{c} IS NOT NULL' for c in kept)}", "pitches"
+        f"SELECT {listed} FROM pitches WHERE {' AND '.join(f'{c} IS NOT NULL' for c in PITCH_COLUMNS)}", "pitches"
     )
-    out["pitch_csv_roundtrip"] = _sql(f"SELECT {', '.join(kept + ['shark1', 'shark2'])} FROM pitches", "pitches")
+    out["pitch_csv_roundtrip"] = _sql(f"SELECT {listed} FROM pitches", "pitches")
     out["describe_numeric"] = _sql(_describe(), "pitches")
     out["value_counts_deal"] = _sql(
         "SELECT deal, count(*) AS n_rows, round(count(*) * 100 / (SELECT count(deal) FROM pitch_clean), 2) AS share_pct FROM pitch_clean GROUP BY deal",
@@ -456,8 +481,8 @@ def statements() -> dict[str, str]:
     )
     out["rate_by_category"] = _sql(f"SELECT category, {_six('deal_rate')}, total_pitches, deal_rate_pct FROM ({_rates('category')})", "features")
     out["top_categories"] = _sql(
-        f"SELECT category, {_six('deal_rate')} FROM (SELECT * FROM ({_rates('category')}) ORDER BY deal_rate DESC, category LIMIT 5)",
-        "features",
+        f"SELECT category, {_six('deal_rate')} FROM (SELECT * FROM ({_rates('category', 'second_features')}) ORDER BY deal_rate DESC, category LIMIT 5)",
+        "second_features",
     )
     out["rate_by_season"] = _sql(f"SELECT season, deal_rate_pct, total_pitches FROM ({_rates('season')})", "features")
     out["season_extremes"] = _sql(
@@ -469,17 +494,17 @@ def statements() -> dict[str, str]:
     )
     out["rate_by_investor"] = _sql(
         " UNION ALL ".join(
-            f"SELECT '{n}' AS investor, round(avg(deal), 6) AS success_rate FROM features WHERE contains(lower(all_sharks), '{n.lower()}')"
+            f"SELECT '{n}' AS investor, round(avg(deal), 6) AS success_rate FROM second_features WHERE contains(lower(all_sharks), '{n.lower()}')"
             for n in study.INVESTORS
         ),
-        "features",
+        "second_features",
     )
     out["rate_comparison"] = _sql(_COMPARISONS, "features")
     out["ttest_by_outcome"] = _sql(_TTESTS, "features")
     out["group_range_test"] = _sql(_RANGES, "features")
     out["ratio_by_outcome"] = _sql(
-        "SELECT round(avg(investment_ratio) FILTER (deal = 1), 6) AS success_ratio, round(avg(investment_ratio) FILTER (deal = 0), 6) AS failure_ratio FROM features",
-        "features",
+        "SELECT round(avg(investment_ratio) FILTER (deal = 1), 6) AS success_ratio, round(avg(investment_ratio) FILTER (deal = 0), 6) AS failure_ratio FROM second_features",
+        "second_features",
     )
     out["hypothesis_summary"] = _sql(_HYPOTHESES, "features")
     out["feature_correlation"] = _sql(
@@ -490,9 +515,9 @@ def statements() -> dict[str, str]:
     out["ols_per_feature"] = _split(f"SELECT feature, {_six('slope', 'intercept', 'x_mean').replace('6)', '4)')} FROM ({_OLS})")
     out["ols_predict"] = _split(_OLS_PREDICT)
     out["histogram_by_outcome"] = _sql(_histogram(_series(["exchangeforstake", "investment_ratio"]), "feature, deal"), "features")
-    out["histogram_ratio"] = _sql(_histogram(_RATIO, "feature"), "features")
+    out["histogram_ratio"] = _sql(_histogram(_RATIO, "feature"), "second_features")
     out["boxplot_by_outcome"] = _sql(_box(_series(study.BOXED), "feature, deal"), "features")
-    out["boxplot_ratio"] = _sql(_box(_RATIO, "feature"), "features")
+    out["boxplot_ratio"] = _sql(_box(_RATIO, "feature"), "second_features")
     out["boxplot_outliers"] = _sql(
         f"SELECT feature, deal, round(x, 6) AS x FROM ({_fences(_series(study.BOXED), 'feature, deal')}) WHERE NOT x BETWEEN low AND high",
         "features",
@@ -502,7 +527,7 @@ def statements() -> dict[str, str]:
  CASE WHEN deal_rate * 100 >= (SELECT avg(deal) * 100 FROM features) THEN 'Above Average' ELSE 'Below Average' END AS class FROM ({_rates('category')})""",
         "features",
     )
-    out["scatter_points"] = _sql("SELECT valuation, deal FROM features", "features")
+    out["scatter_points"] = _sql("SELECT valuation, deal FROM second_features", "second_features")
     out["article_documents"] = _sql(
         f"""SELECT pmid, coalesce(replace(body, chr(10), ' '), '{NO_ABSTRACT}') AS page_content, title,
  '{ARTICLE_URL.replace('%s', "' || cast(pmid AS string) || '")}' AS source FROM articles""",

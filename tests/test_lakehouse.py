@@ -103,3 +103,33 @@ def test_global_kpis_shuffle_single_rows_only(spark, run):
     fact = run.stored("gold", "fact_orders")
     for kpi in (kpis.total_revenue, kpis.data_quality):
         assert "hashpartitioning" not in final_plan(kpi(fact))
+
+
+def test_checked_overwrite_swaps_whole_tables(spark, tmp_path):
+    lakehouse.create_namespace(spark, "checked", str(tmp_path / "checked"))
+    table = "checked.rows"
+    lakehouse.save(spark.range(6).selectExpr("id", "cast(id as string) as name", "1 as n"), table)
+    verdicts = lakehouse.checked_overwrite(spark.table(table).where("id > 3"), table)  # reads what it replaces
+    assert {r.verdict for r in verdicts.collect()} == {"same"} and spark.table(table).count() == 2
+    other = spark.range(9).selectExpr("cast(id as int) as id", "1 as n", "2 as extra")
+    got = {r.column_name: (r.old_type, r.new_type, r.verdict) for r in lakehouse.checked_overwrite(other, table).collect()}
+    assert got == {
+        "id": ("bigint", "int", "retyped"), "name": ("string", None, "dropped"), "n": ("int", "int", "moved"), "extra": (None, "int", "added"),
+    }
+    with pytest.raises(lakehouse.SchemaMismatch, match="name dropped"):
+        lakehouse.save_same_schema(other, table)
+    failing = spark.range(9).selectExpr("if(id = 7, cast(raise_error('bad row') as bigint), id) as id", "'x' as name", "1 as n")
+    with pytest.raises(Exception, match="bad row"):
+        lakehouse.checked_overwrite(failing, table)
+    assert sorted(r.id for r in spark.table(table).collect()) == [4, 5]
+    assert lakehouse.checked_overwrite(spark.table(table).where("id = 4"), table).count() == 3
+    assert [r.id for r in spark.table(table).collect()] == [4]
+    assert {r.name for r in spark.catalog.listTables("checked") if not r.isTemporary} == {"rows"}
+    spark.sql("DROP DATABASE checked CASCADE")
+
+
+def test_column_listing_and_preview(spark):
+    frame = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
+    listed = lakehouse.column_listing({"t": frame, "e": frame.limit(0).drop("v")})
+    assert [tuple(r) for r in listed.collect()] == [("t", 1, "k", "int"), ("t", 2, "v", "string"), ("e", 1, "k", "int")]
+    assert [r.k for r in lakehouse.preview(frame, 1, ["k"]).collect()] == [1]

@@ -200,3 +200,10 @@ def test_positional_split_refuses_repeated_and_null_keys(spark):
     for keys in ([1, 1, 2], [1, None]):
         with pytest.raises(ValueError, match="does not order"):
             ranks.positional_split(spark.createDataFrame([(k,) for k in keys], "k int"), "k")
+
+
+def test_second_study_keeps_pitches_without_a_stake(spark, small):
+    raw = views.view(spark, small, "pitches")
+    first, second = (study.clean(raw, required) for required in (("deal", *study.MONEY), study.SECOND_REQUIRED))
+    without = raw.where("exchangeforstake is null and askedfor is not null and valuation is not null").count()
+    assert without > 0 and second.count() == first.count() + without

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeworks.operators import chunking, inference, profile, retrieval
+from lakeworks.operators import chunking, inference, profile, ranks, retrieval
 from lakeworks.plans import cube, gold, kpis, medallion
 from lakeworks.plans import pitches as study
 from lakeworks.plans import silver as silver_plans
@@ -234,6 +234,20 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.split_documents(docs)
 
 
+def chunk_recursive_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, whether its recursive chunks keep the law of the splitter."""
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunking.chunk_coverage(docs, chunking.split_documents(docs, "text", located=True), "doc_id", "text")
+
+
+def split_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, which have no unique key, split by their place in the file."""
+    rows = ranks.split_by_file_position(views.table(spark, sf_dir, "lineitem"))
+    return rows.groupBy("is_train").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("l_orderkey").cast("long")).alias("key_sum"), F.max("l_orderkey").cast("long").alias("last_key")
+    )
+
+
 def _hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     vectors = _embeddings(spark, sf_dir)
     return retrieval.nearest(vectors, retrieval.topic_questions(vectors), k)
@@ -322,6 +336,7 @@ def queries() -> dict[str, Query]:
         "train_test_split": _on_features(
             lambda f: inference.positional_split(f, "pitch_id").select("pitch_id", "is_train")
         ),
+        "split_by_position": split_by_position,
         "ols_per_feature": _on_features(_ols_per_feature, dict.fromkeys(("slope", "intercept", "x_mean"), 4)),
         "ols_predict": _on_features(
             lambda f: inference.additive_predictions(f, *OLS, key="pitch_id"), {"prediction": 4}
@@ -338,6 +353,7 @@ def queries() -> dict[str, Query]:
         "article_documents": article_documents,
         "chunk_fixed": chunk_fixed,
         "chunk_recursive": chunk_recursive,
+        "chunk_recursive_law": chunk_recursive_law,
         "topk_vectors": topk_vectors,
         "topk_one_question": topk_one_question,
         "context_per_query": context_per_query,

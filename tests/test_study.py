@@ -207,3 +207,18 @@ def test_second_study_keeps_pitches_without_a_stake(spark, small):
     first, second = (study.clean(raw, required) for required in (("deal", *study.MONEY), study.SECOND_REQUIRED))
     without = raw.where("exchangeforstake is null and askedfor is not null and valuation is not null").count()
     assert without > 0 and second.count() == first.count() + without
+
+
+def test_split_by_file_position_needs_no_key(spark, tmp_path):
+    """Several files, repeated and null keys: rows are marked as they stand, file after file."""
+    path = str(tmp_path / "rows")
+    for i, n in enumerate((300, 1, 777, 0, 50)):
+        part = spark.range(n).selectExpr("if(id % 3 = 0, null, id % 5) as k", f"id + {i * 1000} as place")
+        part.coalesce(1).write.parquet(f"{path}/part={i}")
+    scan = spark.read.parquet(path).drop("part")
+    numbered = ranks.file_positions(scan).orderBy("place").collect()
+    assert [r.position for r in numbered] == list(range(1128))
+    marked = ranks.split_by_file_position(scan, 0.5)
+    assert marked.columns == ["k", "place", "is_train"] and marked.where("is_train").count() == 564
+    assert marked.where("is_train").agg({"place": "max"}).first()[0] < marked.where("not is_train").agg({"place": "min"}).first()[0]
+    assert "hashpartitioning(place" not in marked._jdf.queryExecution().executedPlan().toString()

@@ -182,3 +182,21 @@ def test_contexts_and_sources(spark):
         (2, 1, "No title", "u2"),
         (2, 2, "No title", "No link"),
     ]
+
+
+def test_located_chunks_hold_their_text_and_the_law_sees_faults(spark):
+    texts = ["word " * 500, "x" * 2000, "para one\n\n" + "line\n" * 300, "\u3000 a \x1c", " \n ", None, "", "tab\t" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    chunks = chunking.split_documents(docs, "text", located=True).cache()
+    rows = chunks.collect()
+    assert all(texts[r.doc_id][r["start"] : r["end"]] == r.chunk_text for r in rows)
+    law = chunking.chunk_coverage(docs, chunks, "doc_id", "text").collect()
+    assert {r.doc_id for r in law} == {0, 1, 2, 3, 7} and all(all(list(r)[1:]) for r in law)
+    faults = {
+        "whole": chunks.where("not (doc_id = 0 and chunk_no = 1)"),
+        "holds_its_text": chunks.withColumn("chunk_text", F.when(F.col("doc_id") == 0, F.reverse("chunk_text")).otherwise(F.col("chunk_text"))),
+        "within_overlap": chunks.withColumn("start", F.when(F.col("doc_id") == 0, F.greatest(F.lit(0), F.col("start") - 200)).otherwise(F.col("start"))),
+    }
+    for name, wrong in faults.items():
+        verdicts = {r.doc_id: r[name] for r in chunking.chunk_coverage(docs, wrong, "doc_id", "text").collect()}
+        assert verdicts[0] is False and verdicts[2] is True

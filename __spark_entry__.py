@@ -203,6 +203,28 @@ def pitch_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("pitch_id", F.col("pitch_id").cast("long"))
 
 
+def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Pitches as CSV lines, some with words for the asked sum, some cut off after the season."""
+    money = ("askedfor", "exchangeforstake", "valuation")
+    texts = [F.col(c).cast("decimal(18,2)").cast("string") if c in money else F.col(c).cast("string") for c in statements.PITCH_COLUMNS]
+    at = statements.PITCH_COLUMNS.index("askedfor")
+    texts[at] = F.when(F.col("pitch_id") % 13 == 0, "on request").otherwise(texts[at])
+    cells = [F.coalesce(F.concat(F.lit('"'), F.translate(t, '"', "'"), F.lit('"')), F.lit("")) for t in texts]
+    line = F.when(F.col("pitch_id") % 17 == 0, F.concat_ws(",", *cells[:8])).otherwise(F.concat_ws(",", *cells))
+    path = f"{work_folder(spark)}/dirty-{abs(hash(sf_dir))}"
+    _pitches(spark, sf_dir).select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty CSV read back: the rows that fit all fifteen columns, and the rejected records with their reasons."""
+    path = _dirty_csv(spark, sf_dir)
+    names = ", ".join(f"{c} string" for c in statements.PITCH_COLUMNS)
+    schema = lakehouse.guessed_schema(spark.read.schema(names).csv(path))
+    good, rejects = lakehouse.read_csv_checked(spark, path, schema, header=False)
+    return good.unionByName(rejects, allowMissingColumns=True)
+
+
 OLS = (statements.OLS_FEATURES, statements.OLS_TARGET)
 
 
@@ -316,6 +338,7 @@ def queries() -> dict[str, Query]:
         "pitch_features": _on_features(lambda f: f, ratios),
         "pitch_dropna_all": _on_pitches(study.complete_rows),
         "pitch_csv_roundtrip": pitch_csv_roundtrip,
+        "csv_rejects": csv_rejects,
         "describe_numeric": _on_pitches(
             lambda raw: profile.describe(raw, study.NUMERIC), {**_six("mean", "q25", "q50", "q75"), "std": 4}
         ),

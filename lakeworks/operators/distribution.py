@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,19 @@ def _edge(number: Column, bins: int) -> Column:
     return F.when(number >= bins, F.col("hi")).otherwise(F.col("lo") + number * step)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where nulls match; the columns of ``left`` and those of ``right`` beside the keys."""
+    other = right.withColumnsRenamed({k: f"_{k}_" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}_")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_{k}_" for k in keys])
+
+
 def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = BINS) -> DataFrame:
     """Equal-width bins between each series' own minimum and maximum, the last bin closed.
 
     ``series`` names few groups of fixed number (a feature list, a 0/1 outcome), which bounds the
-    broadcast range table. Empty bins are listed with count 0. A constant series gets a width of one.
+    broadcast range table. Empty bins are listed with count 0. A constant series gets a width of one, and rows whose
+    series is null form a series of their own.
     """
     keys = list(series)
     rows = df.filter(F.col(value).isNotNull())
@@ -42,14 +51,14 @@ def histogram(df: DataFrame, series: Sequence[str], value: str, bins: int = BINS
     step_on = ((F.col("guess") < bins - 1) & (F.col(value) >= _edge(F.col("guess") + 1, bins))).cast("int")
     counts = (
         rows.select(*keys, value)
-        .join(spans, keys)
+        .transform(lambda r: _null_safe(r, spans, keys))
         .withColumn("guess", guess)
         .groupBy(*keys, (F.col("guess") - step_back + step_on).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     grid = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     # At most ``bins`` rows per series on either side.
-    return grid.join(counts, [*keys, "bin"], "left").select(
+    return _null_safe(grid, counts, [*keys, "bin"], "left").select(
         *keys,
         (F.col("bin") + 1).alias("bin"),
         _edge(F.col("bin"), bins).alias("lower_edge"),
@@ -71,7 +80,7 @@ def _with_fences(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:
         (q1 - reach).alias("low_fence"),
         (q3 + reach).alias("high_fence"),
     )
-    return df.filter(F.col(value).isNotNull()).join(fences, list(series))
+    return _null_safe(df.filter(F.col(value).isNotNull()), fences, list(series))
 
 
 def box_numbers(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:

@@ -122,6 +122,60 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
+# Rows a schema is inferred from, and the share of a column's values in them that a type must fit.
+SAMPLE_ROWS = 10_000
+FITTING = 0.9
+GUESSED_TYPES = ("bigint", "double", "boolean", "date", "timestamp")
+_REJECTED = "_rejected_"
+
+
+def guessed_schema(text: DataFrame, rows: int = SAMPLE_ROWS, fitting: float = FITTING) -> T.StructType:
+    """A type per text column from the first rows: the first of ``GUESSED_TYPES`` that nearly all their values fit.
+
+    Values that do not fit are left to the reader's rejects; a column without values in the sample stays text.
+    """
+    counted = [F.count(c).alias(f"{c}:any") for c in text.columns]
+    for c in text.columns:
+        counted += [F.count(F.expr(f"try_cast(`{c}` as {kind})")).alias(f"{c}:{kind}") for kind in GUESSED_TYPES]
+    found = text.limit(rows).agg(*counted).first()
+
+    def kind(c: str) -> str:
+        n = found[f"{c}:any"]
+        return next((k for k in GUESSED_TYPES if n and found[f"{c}:{k}"] >= fitting * n), "string")
+
+    return T.StructType([T.StructField(c, T._parse_datatype_string(kind(c))) for c in text.columns])
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """CSV as (rows, rejects); every record is read and lands in exactly one of them.
+
+    Without a ``schema``, names come from the header and types from a bounded sample (see ``guessed_schema``). A reject
+    keeps its record as ``record`` and a ``reason``: the number of fields, or each column whose text does not read as its type.
+    """
+    reader = spark.read.option("header", header)
+    if schema is None:
+        schema = guessed_schema(reader.csv(path))
+    marked = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
+    kept = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECTED}
+    # Always true, and reads every column: a scan of some columns would not see misfits in the others.
+    whole = F.hash(*schema.names) >= -(1 << 31)
+    read = reader.options(**kept).schema(marked).csv(path)
+    texts = ", ".join(f"`{c}` string" for c in (*schema.names, _REJECTED))
+    rejects = read.where(F.col(_REJECTED).isNotNull() & whole).select(
+        F.col(_REJECTED).alias("record"), F.from_csv(_REJECTED, texts, kept).alias("_fields")
+    )
+    wrong = []
+    for f in schema.fields:
+        value = F.col(f"_fields.`{f.name}`")
+        misfit = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        wrong.append(F.when(misfit, F.concat(F.lit(f"{f.name}: "), value, F.lit(f" is no {f.dataType.simpleString()}"))))
+    uneven = F.col(f"_fields.{_REJECTED}").isNotNull()
+    reason = F.when(uneven, F.lit(f"not {len(schema)} fields")).otherwise(F.concat_ws("; ", *wrong))
+    return read.where(F.col(_REJECTED).isNull() & whole).drop(_REJECTED), rejects.select("record", reason.alias("reason"))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").option("header", True).csv(path)
     return path

@@ -354,6 +354,29 @@ PITCH_COLUMNS = [
     "multiple_entreprenuers", "has_website", *study.SHARKS,
 ]
 
+def _csv_rejects() -> str:
+    """Rows that fit, as read back; records with words for a number; records cut off after eight columns."""
+    whole, money = ("pitch_id", "season", "has_website"), ("askedfor", "exchangeforstake", "valuation")
+    plain = {c: f"cast({c} AS decimal(18,2))" if c in money else c for c in PITCH_COLUMNS}
+    plain["description"] = "replace(description, chr(34), chr(39))"
+    read = {c: f"cast({x} AS BIGINT)" if c in whole else f"cast({x} AS DOUBLE)" if c in money else x for c, x in plain.items()}
+    cells = [f"coalesce(chr(34) || cast({x} AS string) || chr(34), '')" for x in plain.values()]
+    words = ["chr(34) || 'on request' || chr(34)" if c == "askedfor" else x for c, x in zip(PITCH_COLUMNS, cells)]
+    cut, word = "pitch_id % 17 = 0", "pitch_id % 13 = 0"
+    nothing = ", ".join(f"NULL AS {c}" for c in PITCH_COLUMNS)
+    records = [
+        (words, f"{word} AND NOT {cut}", "askedfor: on request is no double"),
+        (cells[:8], f"{cut} AND NOT {word}", f"not {len(PITCH_COLUMNS)} fields"),
+        (words[:8], f"{cut} AND {word}", f"not {len(PITCH_COLUMNS)} fields"),
+    ]
+    fits = ", ".join(f"{x} AS {c}" for c, x in read.items())
+    parts = [f"SELECT {fits}, NULL AS record, NULL AS reason FROM pitches WHERE NOT {cut} AND NOT {word}"]
+    for fields, where, reason in records:
+        line = " || ',' || ".join(fields)
+        parts.append(f"SELECT {nothing}, {line} AS record, '{reason}' AS reason FROM pitches WHERE {where}")
+    return " UNION ALL ".join(parts)
+
+
 _SILVER_MONEY = {
     "customers": (),
     "orders": ("total_amount",),
@@ -464,6 +487,7 @@ def statements() -> dict[str, str]:
         f"SELECT {listed} FROM pitches WHERE {' AND '.join(f'{c} IS NOT NULL' for c in PITCH_COLUMNS)}", "pitches"
     )
     out["pitch_csv_roundtrip"] = _sql(f"SELECT {listed} FROM pitches", "pitches")
+    out["csv_rejects"] = _sql(_csv_rejects(), "pitches")
     out["describe_numeric"] = _sql(_describe(), "pitches")
     out["value_counts_deal"] = _sql(
         "SELECT deal, count(*) AS n_rows, round(count(*) * 100 / (SELECT count(deal) FROM pitch_clean), 2) AS share_pct FROM pitch_clean GROUP BY deal",

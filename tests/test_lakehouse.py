@@ -133,3 +133,17 @@ def test_column_listing_and_preview(spark):
     listed = lakehouse.column_listing({"t": frame, "e": frame.limit(0).drop("v")})
     assert [tuple(r) for r in listed.collect()] == [("t", 1, "k", "int"), ("t", 2, "v", "string"), ("e", 1, "k", "int")]
     assert [r.k for r in lakehouse.preview(frame, 1, ["k"]).collect()] == [1]
+
+
+def test_csv_rejects_keep_every_record(spark, tmp_path):
+    path = tmp_path / "dirty.csv"
+    good = [f'{i},{i / 4},2024-01-{i % 28 + 1:02d},"a, b",' for i in range(40)]
+    bad = ["x1,1.5,2024-01-01,t,", "7,1.5", "8,zwei,gestern,t,", "1,2,2024-01-01,t,,more"]
+    path.write_text("\n".join(["id,amount,day,note,none", *good, *bad]) + "\n")
+    rows, rejects = lakehouse.read_csv_checked(spark, str(path))
+    assert [t for _, t in lakehouse.column_types(rows)] == ["bigint", "double", "date", "string", "string"]
+    assert rows.select("note").count() == rows.count() == 40  # also when few columns are read
+    assert sorted(r.id for r in rows.collect()) == list(range(40)) and {r.note for r in rows.collect()} == {"a, b"}
+    assert {r.record: r.reason for r in rejects.collect()} == {
+        bad[0]: "id: x1 is no bigint", bad[1]: "not 5 fields", bad[2]: "amount: zwei is no double; day: gestern is no date", bad[3]: "not 5 fields",
+    }

@@ -222,3 +222,10 @@ def test_split_by_file_position_needs_no_key(spark, tmp_path):
     assert marked.columns == ["k", "place", "is_train"] and marked.where("is_train").count() == 564
     assert marked.where("is_train").agg({"place": "max"}).first()[0] < marked.where("not is_train").agg({"place": "min"}).first()[0]
     assert "hashpartitioning(place" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_series_are_listed(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 90.0), ("a", 5.0), ("a", None)], "s string, x double")
+    bins = {(r.s, r.bin): r.n_rows for r in distribution.histogram(rows, ["s"], "x", 2).collect()}
+    assert bins == {(None, 1): 2, (None, 2): 1, ("a", 1): 0, ("a", 2): 1}
+    assert {r.s: r.median for r in distribution.box_numbers(rows, ["s"], "x").collect()} == {None: 2.0, "a": 5.0}

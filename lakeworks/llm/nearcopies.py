@@ -72,6 +72,11 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def short_sketch(sketch: bytes) -> bytes:
+    """A sketch folded to the least length, small enough to travel with every place of a set."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, dtype=np.uint64).reshape(-1, SKETCH_BITS // 64), axis=0).tobytes()
+
+
 def frequent_shingles(rows: DataFrame) -> np.ndarray:
     """Shingles that many documents of a sample hold, the most frequent last."""
 
@@ -87,7 +92,7 @@ def frequent_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def _marked(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """_id, _mark, node (hash of the set), size, sketch, prefix (the rare fifth of the set)."""
+    """_id, _mark, node (hash of the set), size, sketch, short (sketch), prefix (the rare fifth of the set)."""
     by_hash = np.argsort(frequent, kind="stable")
     known = frequent[by_hash]
 
@@ -108,12 +113,13 @@ def _marked(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"), batch.column("_mark"), pa.array(np.asarray(nodes, dtype=np.uint64).view(np.int64)),
-                    pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(map(short_sketch, sketches), pa.binary()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["_id", "_mark", "node", "size", "sketch", "prefix"],
+                names=["_id", "_mark", "node", "size", "sketch", "short", "prefix"],
             )
 
-    return rows.mapInArrow(run, "_id long, _mark long, node long, size int, sketch binary, prefix array<long>")
+    return rows.mapInArrow(run, "_id long, _mark long, node long, size int, sketch binary, short binary, prefix array<long>")
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -138,11 +144,13 @@ def _can_match(size_a, at_a, size_b, at_b, least):
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets under one shingle that are in different groups, cell by cell (rows sorted by shingle, row, column)."""
-    for (_, row, column, block, node, size, at, root), begin in _whole_cells(batches):
+    """Pairs of sets under one shingle that are in different groups and that their short sketches do not refuse, cell by
+    cell (rows sorted by shingle, row, column)."""
+    for (_, row, column, block, node, size, at, root, short), begin in _whole_cells(batches):
         for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(node)], strict=True):
             if (root[lo:hi] == root[lo]).all():
                 continue
+            bits = np.frombuffer(b"".join(short[lo:hi]), dtype=np.uint64).reshape(hi - lo, -1)
             left = np.flatnonzero(block[lo:hi] == row[lo]) + lo
             right = np.flatnonzero(block[lo:hi] == column[lo]) + lo
             rows = max(1, PAIRS_AT_ONCE // max(1, len(right)))
@@ -153,6 +161,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near = ((node[a] < node[b]) | (row[lo] != column[lo])) & (root[a] != root[b])
                 a, b = a[near], b[near]
                 near = _can_match(size[a], at[a], size[b], at[b], np.minimum)
+                a, b = a[near], b[near]
+                near = 9 * np.bitwise_count(bits[a - lo] ^ bits[b - lo]).sum(axis=1, dtype=np.int64) <= size[a].astype(np.int64) + size[b]
                 x, y = node[a[near]], node[b[near]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
@@ -206,7 +216,7 @@ def _cells(rest: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     dealt = rest.withColumn("block", own).withColumn("_other", other)
     row, column = F.least("block", "_other").alias("row"), F.greatest("block", "_other").alias("column")
-    return dealt.select("shingle", row, column, "block", "node", "size", "at", "root")
+    return dealt.select("shingle", row, column, "block", "node", "size", "at", "root", "short")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -220,7 +230,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = whole.select("_id", "_mark", "_text")
     marked = stored(_marked(rows, frequent_shingles(rows)))
     head = F.min(F.struct("_id", "_mark")).alias("head")
-    heads = stored(marked.groupBy("node").agg(head, F.first("size").alias("size"), F.first("sketch").alias("sketch")).select("node", "size", "sketch", "head.*"))
+    kept = [F.first(c).alias(c) for c in ("size", "sketch", "short")]
+    heads = stored(marked.groupBy("node").agg(head, *kept).select("node", "size", "sketch", "short", "head.*"))
     sets = marked.where("size > 0").join(heads.select("node", "_id", "_mark"), ["node", "_id", "_mark"], "left_semi").dropDuplicates(["node"])
     places = stored(sets.select("node", "size", F.posexplode("prefix").alias("at", "shingle")))
     forget(marked)
@@ -236,7 +247,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     stars = stored(met.where("node <> first.node").where(fits).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _verified(stars, heads, rows)
     roots = components(links)
-    rest = met.where("many > 2").join(roots, "node", "left").select("shingle", "many", "node", "size", "at", F.coalesce("root", "node").alias("root"))
+    grouped = heads.select("node", "short").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "short")
+    rest = met.where("many > 2").select("shingle", "many", "node", "size", "at").join(grouped, "node")
     n = shuffle_partitions(docs.sparkSession)
     cells = _cells(rest).repartition(n, "shingle", "row", "column").sortWithinPartitions("shingle", "row", "column")
     across = cells.mapInArrow(_across, "a long, b long").distinct()

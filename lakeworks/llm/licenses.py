@@ -6,12 +6,13 @@ out as character intervals, and an interval is dropped when another one contains
 the longer, then the earlier rule). What is left gives labels and score. Three base phrases are counted on top.
 
 Defined results: null and empty texts have no words, no labels and score 0; repeated rows give repeated results; an
-empty table gives an empty result; texts are read whole; further columns are ignored. Comparing the detections of one
-text is quadratic in their number, which the text's own license wording bounds.
+empty table gives an empty result; further columns are ignored. Texts are read whole, however long: detections are sorted
+by place and swept once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,8 @@ GATES = (
     "libpng", "ncsa", "python", "bitstream", "expat", "spdx", "common development", "common public", "community data", "european union",
 )
 BASE_SCORE = 0.3
+#: Items after which a growing array of spans is closed; only the cost depends on it.
+SLICE = 256
 _SPAN = "struct<s:int,e:int,priority:int,no:int,label:string>"
 
 
@@ -49,32 +52,74 @@ def _spaces(text: Column) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _walk(items: Column, state: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """Spans that ``step`` emits along an array with a running state.
+
+    ``step(state, item)`` gives the new state, whether to emit, and a span. An array is copied whenever it grows, so
+    spans are gathered in slices of ``SLICE`` items and the slices joined at the end.
+    """
+    no_spans = F.array().cast(f"array<{_SPAN}>")
+
+    def one(acc: Column, item: Column) -> Column:
+        after, emits, span = step(acc["state"], item)
+        out = F.when(emits, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        return F.struct(after.cast(kind).alias("state"), out.alias("out"))
+
+    def sliced(acc: Column, all_items: Column, start: Column) -> Column:
+        begin = F.struct(acc["state"].alias("state"), no_spans.alias("out"))
+        done = F.aggregate(F.slice(all_items, start, F.lit(SLICE)), begin, one)
+        return _let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["parts"], F.array(d["out"])).alias("parts")))
+
+    def whole(all_items: Column) -> Column:
+        starts = F.when(F.size(all_items) > 0, F.sequence(F.lit(1), F.size(all_items), F.lit(SLICE))).otherwise(F.array().cast("array<int>"))
+        zero = F.struct(state.cast(kind).alias("state"), F.array().cast(f"array<array<{_SPAN}>>").alias("parts"))
+        return F.aggregate(starts, zero, lambda acc, at: sliced(acc, all_items, at), lambda acc: F.flatten(acc["parts"]))
+
+    return _let(items, whole)
+
+
 def _intervals(norm: Column, rule: Column) -> Column:
     """All matches of one rule as spans: lengths of matches and of what stands between, summed up."""
     between = F.split(norm, rule["regex"])
     matches = F.regexp_extract_all(norm, rule["regex"], F.lit(0))
     lengths = F.zip_with(between, matches, lambda a, b: F.struct(F.length(a).alias("a"), F.length(b).alias("b")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["a"]
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        start = at + x["a"]
+        end = start + F.coalesce(x["b"], F.lit(0))
         span = F.struct(
-            start.alias("s"), (start + x["b"]).alias("e"), rule["priority"].alias("priority"),
-            rule["no"].alias("no"), rule["label"].alias("label"),
+            start.alias("s"), end.alias("e"), rule["priority"].alias("priority"), rule["no"].alias("no"), rule["label"].alias("label")
         ).cast(_SPAN)
-        more = F.struct((start + x["b"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-        kind = f"struct<at:int,spans:array<{_SPAN}>>"
-        return F.when(x["b"].isNull(), acc.cast(kind)).otherwise(more.cast(kind))
+        return end, x["b"].isNotNull(), span
+
+    return _walk(lengths, F.lit(0), "int", step)
+
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(lengths, zero, step, lambda acc: acc["spans"])
+def _uncontained(spans: Column, levels: list[int]) -> Column:
+    """The spans that no other one of higher priority (ties: longer, then earlier rule) contains, by place.
 
+    Sorted by start, falling end, falling priority and rule, whatever suppresses a span stands before it, and a span
+    before it suppresses it when it reaches as far and has at least its priority. So one sweep suffices, with the
+    furthest end so far of each priority and those above it.
+    """
+    place = lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), (-x["priority"]).alias("priority"), x["no"].alias("no"), x["label"].alias("label"))
+    in_order = F.array_sort(F.transform(spans, place))
+    known = F.array(*[F.lit(p) for p in levels])
+
+    def step(best: Column, x: Column) -> tuple[Column, Column, Column]:
+        level, end = F.array_position(known, -x["priority"]).cast("int"), -x["e"]
+        reach = F.transform(best, lambda furthest, i: F.when(i < level, F.greatest(furthest, end)).otherwise(furthest))
+        span = F.struct(
+            x["s"].alias("s"), end.alias("e"), (-x["priority"]).alias("priority"), x["no"].alias("no"), x["label"].alias("label")
+        ).cast(_SPAN)
+        return reach, best[level - 1] < end, span
 
-def _beats(b: Column, a: Column) -> Column:
-    length_a, length_b = a["e"] - a["s"], b["e"] - b["s"]
-    longer = (length_b > length_a) | ((length_b == length_a) & (b["no"] < a["no"]))
-    stronger = (b["priority"] > a["priority"]) | ((b["priority"] == a["priority"]) & longer)
-    return (b["s"] <= a["s"]) & (b["e"] >= a["e"]) & stronger
+    return _walk(in_order, F.array(*[F.lit(-1) for _ in levels]), "array<int>", step)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,9 +155,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             "_found": F.when(F.col("_gated"), found).otherwise(F.array().cast(f"array<{_SPAN}>")),
         }
     ).drop("_norm", "_gated")
-    all_found = F.col("_found")
-    kept = F.filter(all_found, lambda a: ~F.exists(all_found, lambda b: _beats(b, a)))
-    rows = rows.withColumn("detections", kept).drop("_found")
+    levels = sorted({priority for _, priority, _, _ in rules()})
+    rows = rows.withColumn("detections", _uncontained(F.col("_found"), levels)).drop("_found")
     strongest = F.array_max(F.transform("detections", lambda d: d["priority"])) / 100
     base_score = F.when(F.col("n_base") > 0, F.lit(BASE_SCORE)).otherwise(F.lit(0.0))
     joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")

@@ -1,18 +1,22 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine, found through a block-max inverted index.
 
-Terms that a bounded sample of labelled rows shows to go with the label (chi-square, over groups of like texts so that
-copies do not speak twice) span the space; their document frequencies are counted over all documents. Examples with
-the same vector are one entry with a count. Entries stand in blocks; for every term and block the index keeps the
-largest weight, so a query visits blocks by falling upper bound and stops when no block can still beat its k-th best.
-Near examples vote by distance, and an isotonic curve fitted on leave-one-out votes turns votes into scores.
-
-The sample is bounded by ``SAMPLE_ROWS``; frequencies and scores cover every text whole. Defined results: null, empty
-and term-free texts have no neighbours and get the share of toxic rows among term-free examples; rows with a null label
-or id teach nothing; without labels every score is 0; an empty table gives an empty result.
+Every word of the examples spans the space; document frequencies are counted over all documents. Words that a bounded
+sample of labelled rows shows to go with the label (chi-square, over groups of like texts so that copies do not speak
+twice) weigh ``1 + STRESS`` times as much, so that one such word is not drowned in a long text. Examples with the same
+vector are one entry with a count. Entries stand in blocks; for every term and block the index keeps the largest weight,
+so a query scores the blocks of the highest bounds first and then only those whose bound reaches its k-th best. Near
+examples vote by distance, and an isotonic curve fitted on leave-one-out votes turns votes into scores.
+
+The sample for word statistics is bounded by ``SAMPLE_ROWS``, the examples by ``PER_LABEL`` of either label (the curve
+weighs them back to the sample's shares); frequencies and scores cover every text whole. Defined results: null and empty
+texts, and texts without a word of any example, have no neighbours and get the share of toxic rows among such examples;
+repeated rows get the same score each; rows with a null label or id teach nothing; without labels every score is 0; an
+empty table gives an empty result; further columns are ignored; ids may be of any type.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -25,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.common import is_held_out, slices
+from lakeworks.llm.common import forget, is_held_out, slices, stored
 from lakeworks.llm.quality import training_sample
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, PER_LABEL = 20_000, 4_000
 THRESHOLD = 0.3
-MAX_TERMS, MIN_GROUPS, MIN_CHI2 = 2048, 8, 30.0
-NEIGHBOURS, BLOCK, NEAR = 15, 64, 0.05
+MIN_GROUPS, MIN_CHI2, STRESS = 8, 30.0, 15.0
+NEIGHBOURS, BLOCK, FIRST_BLOCKS, NEAR = 15, 64, 4, 0.05
 REMEMBERED = 50_000
 WORD = re.compile(r"\w+")
 
@@ -47,7 +51,7 @@ def _likeness(found: list[str]) -> int:
 
 
 def telling_terms(taught: DataFrame) -> list[str]:
-    """Terms that go with the label, strongest first. ``taught``: _text, _label of the bounded sample."""
+    """Terms that go with the label. ``taught``: _text, _label of the bounded sample."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -75,49 +79,84 @@ def telling_terms(taught: DataFrame) -> list[str]:
     spread_of = n * F.lit(float(all_bad)) / all_n * (1 - F.lit(float(all_bad)) / all_n)
     chi2 = F.pow(bad - n * all_bad / all_n, 2) / (spread_of * (1 - n / all_n + 1e-9))
     above = counts.where(bad / n > 2 * F.lit(float(all_bad)) / all_n).withColumn("chi2", chi2)
-    best = above.where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS)
-    return [r["term"] for r in best.select("term").collect()]
+    strong = above.where(F.col("chi2") >= MIN_CHI2)  # at most the words of the sample
+    return sorted(r["term"] for r in strong.select("term").collect())
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of all ranges, one after the other."""
+    total = int(lengths.sum())
+    before = np.cumsum(lengths) - lengths
+    return np.arange(total) + np.repeat(starts - before, lengths)
 
 
 @dataclass
 class Examples:
-    """Block-max inverted index over the distinct example vectors."""
+    """Block-max inverted index over the distinct example vectors.
+
+    ``cells`` are the (term, block) pairs that hold postings, by term: cell ``c`` of block ``cell_block[c]`` has the
+    postings ``cell_start[c]`` up to ``cell_start[c + 1]`` and the largest weight ``cell_max[c]``.
+    """
 
     terms: dict[str, int]
     idf: np.ndarray
+    telling: frozenset[int]
     count: np.ndarray  # rows with this vector
     bad: np.ndarray  # of them toxic
-    ids: list[list[int]]  # a few of them, as evidence
-    block_max: np.ndarray  # terms x blocks
-    postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]  # (term, block) -> places in the block, weights
+    ids: list[list]  # a few of them, as evidence
+    term_start: np.ndarray  # first cell of each term
+    cell_block: np.ndarray
+    cell_max: np.ndarray
+    cell_start: np.ndarray
+    entry: np.ndarray  # of each posting
+    weight: np.ndarray
     curve: tuple[np.ndarray, np.ndarray]
     blank: float
 
     def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
         get = self.terms.get
-        return tuple(sorted(Counter(i for i in map(get, words(text)) if i is not None).items()))
+        found = ((get(w), n) for w, n in Counter(words(text)).items())
+        return tuple(sorted((t, n) for t, n in found if t is not None))
 
     def weights(self, vector: tuple[tuple[int, int], ...]) -> np.ndarray:
-        at = np.asarray([t for t, _ in vector])
-        weight = (1 + np.log([n for _, n in vector])) * self.idf[at]
-        return weight / math.sqrt(float(weight @ weight))
+        return _weights(vector, self.idf)
 
     def nearest(self, vector: tuple[tuple[int, int], ...], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the k nearest, nearest first (ties: earlier entry)."""
-        weight, at = self.weights(vector), [t for t, _ in vector]
-        bound = weight @ self.block_max[at]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1][0] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(at, weight.tolist(), strict=True):
-                if (t, block) in self.postings:
-                    places, values = self.postings[t, block]
-                    score[places] += w * values
-            best += [(float(score[i]), -(block * BLOCK + i)) for i in np.flatnonzero(score).tolist()]
-            best = sorted(best, reverse=True)[:k]
-        return np.asarray([-i for _, i in best], dtype=np.int64), np.asarray([s for s, _ in best])
+        at = np.asarray([t for t, _ in vector], dtype=np.int64)
+        held = self.term_start[at + 1] - self.term_start[at]
+        cells = _ranges(self.term_start[at], held)
+        share = np.repeat(self.weights(vector), held)
+        blocks = self.cell_block[cells]
+        bound = np.bincount(blocks, share * self.cell_max[cells], -(-len(self.count) // BLOCK))
+        by_bound = np.argsort(-bound, kind="stable")
+        open_blocks = np.zeros(len(bound), dtype=bool)
+        open_blocks[by_bound[:FIRST_BLOCKS]] = True
+        near, cosine = self._best(cells, share, open_blocks[blocks], k)
+        if len(bound) > FIRST_BLOCKS:
+            more = (bound > 0) & ~open_blocks
+            if len(near) == k:
+                more &= bound >= cosine[-1] - 1e-9
+            if more.any():
+                also, values = self._best(cells, share, more[blocks], k)
+                near, cosine = np.concatenate([near, also]), np.concatenate([cosine, values])
+                order = np.lexsort((near, -cosine))[:k]
+                near, cosine = near[order], cosine[order]
+        return near, cosine
+
+    def _best(self, cells: np.ndarray, share: np.ndarray, chosen: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best entries of the chosen cells' blocks, scored exactly."""
+        cells, share = cells[chosen], share[chosen]
+        starts = self.cell_start[cells]
+        sizes = self.cell_start[cells + 1] - starts
+        places = _ranges(starts, sizes)
+        score = np.bincount(self.entry[places], np.repeat(share, sizes) * self.weight[places], len(self.count))
+        near = np.flatnonzero(score)
+        if len(near) > k:
+            least = np.partition(score[near], -k)[-k]
+            near = near[score[near] >= least]
+        near = near[np.lexsort((near, -score[near]))][:k]
+        return near, score[near]
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, own: int = -1, label: int = 0) -> float:
         """Distance-weighted share of toxic rows; ``own`` is an entry that loses one row of this label."""
@@ -128,12 +167,18 @@ class Examples:
         return float((weight * bad / np.maximum(count, 1)).sum()) / total if total else self.blank
 
 
-def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: a rising curve through (vote, label)."""
+def _weights(vector: tuple[tuple[int, int], ...], idf: np.ndarray) -> np.ndarray:
+    pairs = np.asarray(vector, dtype=np.int64)
+    weight = (1 + np.log(pairs[:, 1])) * idf[pairs[:, 0]]
+    return weight / math.sqrt(float(weight @ weight))
+
+
+def _isotonic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators: a rising curve through (vote, label) of ``n`` rows each."""
     order = np.argsort(x, kind="stable")
     pools: list[list[float]] = []  # sum of x, sum of y, n
-    for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([a, b, 1])
+    for a, b, c in zip(x[order].tolist(), y[order].tolist(), n[order].tolist(), strict=True):
+        pools.append([a * c, b * c, c])
         while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
             top = pools.pop()
             pools[-1] = [p + q for p, q in zip(pools[-1], top, strict=True)]
@@ -141,110 +186,143 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.asarray([(p[1] + 0.1) / (p[2] + 0.2) if p[2] < 5 else p[1] / p[2] for p in pools])
 
 
-def build(rows: list[tuple[int, int, tuple[tuple[int, int], ...]]], terms: list[str], idf: np.ndarray) -> Examples:
-    """Index the bounded sample of (id, label, vector)."""
-    grouped: dict[tuple, list[tuple[int, int]]] = {}
+def build(rows: list[tuple], terms: list[str], idf: np.ndarray, telling: frozenset[int] = frozenset(), shares: tuple[float, float] = (1.0, 1.0)) -> Examples:
+    """Index the bounded examples (id, label, vector); each stands for ``shares[label]`` rows of the sample."""
+    grouped: dict[tuple, list[tuple]] = {}
     for name, label, vector in rows:
         grouped.setdefault(vector, []).append((name, label))
-    blanks = grouped.pop((), [])
-    blank = (sum(y for _, y in blanks) + 0.5) / (len(blanks) + 1) if rows else 0.0
+    blanks = [label for _, label in grouped.pop((), [])]
+    blank = (sum(blanks) * shares[1] + 0.5) / (sum(shares[y] for y in blanks) + 1) if rows else 0.0
     vectors = sorted(grouped)
-    n_blocks = math.ceil(len(vectors) / BLOCK)
+    sizes = np.asarray([len(v) for v in vectors], dtype=np.int64)
+    entry = np.repeat(np.arange(len(vectors)), sizes)
+    term = np.asarray([t for v in vectors for t, _ in v], dtype=np.int64)
+    weight = np.concatenate([_weights(v, idf) for v in vectors]) if vectors else np.zeros(0)
+    order = np.lexsort((entry, term))
+    term, entry, weight = term[order], entry[order], weight[order]
+    block = entry // BLOCK
+    first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, dtype=np.int64)
     index = Examples(
-        {t: i for i, t in enumerate(terms)}, idf,
+        {t: i for i, t in enumerate(terms)}, idf, telling,
         np.asarray([len(grouped[v]) for v in vectors], dtype=np.float64),
         np.asarray([sum(y for _, y in grouped[v]) for v in vectors], dtype=np.float64),
         [sorted(name for name, _ in grouped[v])[:3] for v in vectors],
-        np.zeros((len(terms), n_blocks)), {}, (np.zeros(0), np.zeros(0)), blank,
+        np.searchsorted(term[first], np.arange(len(terms) + 1)), block[first].astype(np.int32),
+        np.maximum.reduceat(weight, first) if len(first) else np.zeros(0), np.r_[first, len(term)],
+        entry.astype(np.int32), weight, (np.zeros(0), np.zeros(0)), blank,
     )
-    lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-    for place, v in enumerate(vectors):
-        for (t, _), w in zip(v, index.weights(v).tolist(), strict=True):
-            lists.setdefault((t, place // BLOCK), []).append((place % BLOCK, w))
-            index.block_max[t, place // BLOCK] = max(index.block_max[t, place // BLOCK], w)
-    index.postings = {k: (np.asarray([p for p, _ in x]), np.asarray([w for _, w in x])) for k, x in lists.items()}
-    votes, marks = [], []
+    votes, marks, stands_for = [], [], []
     for place, v in enumerate(vectors):
         near, cosine = index.nearest(v, NEIGHBOURS)
         for label in (0, 1):
-            times = int(index.bad[place] if label else index.count[place] - index.bad[place])
-            votes += [index.vote(near, cosine, place, label)] * times
-            marks += [label] * times
+            times = index.bad[place] if label else index.count[place] - index.bad[place]
+            if times:
+                votes.append(index.vote(near, cosine, place, label))
+                marks.append(label)
+                stands_for.append(times * shares[label])
     if votes:
-        index.curve = _isotonic(np.asarray(votes), np.asarray(marks, dtype=np.float64))
+        index.curve = _isotonic(np.asarray(votes), np.asarray(marks, dtype=np.float64), np.asarray(stands_for))
     return index
 
 
+def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[str] = set()
+    for batch in slices(batches):
+        for text in batch.column("_text").to_pylist():
+            seen.update(words(text))
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], names=["term"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Examples:
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     sample = F.broadcast(training_sample(labels, "toxic", rows))  # bounded by ``rows``
-    taught = texts.join(sample, "_key")
-    terms = telling_terms(taught)
+    taught = stored(texts.join(sample, "_key"))
+    # The sample's rows in the order of a hash; what is taken of either label is bounded, too.
+    by_hash = [F.xxhash64("_key"), F.col("_key"), F.xxhash64("_text")]
+    some = [taught.where(F.col("_label") == y).orderBy(*by_hash).limit(PER_LABEL) for y in (0, 1)]
+    examples = stored(some[0].unionByName(some[1]))
+    in_sample = {r["_label"]: r["n"] for r in taught.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = tuple(max(1.0, in_sample.get(y, 0) / PER_LABEL) for y in (0, 1))
+    terms = sorted(examples.mapInArrow(_vocabulary, "term string").distinct().toArrow().column("term").to_pylist())
     place = {t: i for i, t in enumerate(terms)}
+    telling = frozenset(place[t] for t in telling_terms(taught) if t in place)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for batch in slices(batches):
             for body in batch.column(0).to_pylist():
-                for i in {place[w] for w in words(body) if w in place}:
-                    seen[i] += 1
+                seen[[i for i in map(place.get, set(words(body))) if i is not None]] += 1
                 n += 1
         seen[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(seen))), pa.array(seen)], names=["term", "n"])
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(seen[held])], names=["term", "n"])
 
     counted = texts.select("_text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in counted.collect()}  # one row per chosen term
-    total = df.get(len(terms), 0)
-    idf = np.asarray([math.log((1 + total) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
+    df = counted.toArrow()  # one row per word of the examples
+    held = np.zeros(len(terms) + 1)
+    held[df.column("term").to_numpy()] = df.column("n").to_numpy()
+    idf = np.log((1 + held[-1]) / (1 + held[:-1])) + 1
+    idf[list(telling)] *= 1 + STRESS
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [sorted(Counter(place[w] for w in words(t) if w in place).items()) for t in batch.column("_text").to_pylist()]
+            found = [sorted((place[w], n) for w, n in Counter(words(t)).items()) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_key"), batch.column("_label"), pa.array([[x for p in v for x in p] for v in found], pa.list_(pa.int64()))],
-                names=["_key", "_label", "v"],
-            )
+                [
+                    batch.column("_key"), batch.column("_label"),
+                    pa.array([[t for t, _ in v] for v in found], pa.list_(pa.int32())), pa.array([[n for _, n in v] for v in found], pa.list_(pa.int32())),
+                ],
+                names=["_key", "_label", "t", "n"],
+            )
 
     kind = taught.schema["_key"].dataType.simpleString()
-    learned = taught.mapInArrow(vectors, f"_key {kind}, _label int, v array<long>").orderBy(F.xxhash64("_key"), "_key", "_label").limit(rows)
-    rows_of = [(r["_key"], r["_label"], tuple(zip(r["v"][::2], r["v"][1::2], strict=True))) for r in learned.collect()]
-    return build(rows_of, terms, idf)
+    learned = examples.mapInArrow(vectors, f"_key {kind}, _label int, t array<int>, n array<int>").toArrow()
+    known = sorted(
+        (
+            (name, label, tuple(zip(t, n, strict=True)))
+            for name, label, t, n in zip(*[learned.column(c).to_pylist() for c in ("_key", "_label", "t", "n")], strict=True)
+        ),
+        key=lambda row: row[:2],
+    )
+    forget(examples)
+    forget(taught)
+    return build(known, terms, idf, telling, shares)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted, neighbours (ids of near examples), terms (those found in the text)."""
+    """doc_id, held_out, score, predicted, neighbours (ids of near examples), terms (the telling ones in the text)."""
     index = fit(docs, labels, key, text)
     names = list(index.terms)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: OrderedDict[tuple, tuple[float, list[int]]] = OrderedDict()
+        memory: OrderedDict[bytes, tuple[float, list, list[str]]] = OrderedDict()
         for batch in slices(batches):
-            scores, near_ids, found = [], [], []
+            judged = []
             for body in batch.column("_text").to_pylist():
-                vector = index.vector(body)
-                if vector not in memory:
+                digest = hashlib.blake2b((body or "").encode(), digest_size=16).digest()
+                if digest not in memory:
                     if len(memory) >= REMEMBERED:
                         memory.popitem(last=False)
-                    memory[vector] = _judge(index, vector)
-                value, ids = memory[vector]
-                scores.append(value)
-                near_ids.append(ids)
-                found.append([names[t] for t, _ in vector])
+                    vector = index.vector(body)
+                    memory[digest] = (*_judge(index, vector), [names[t] for t, _ in vector if t in index.telling])
+                judged.append(memory[digest])
+            values, ids, found = zip(*judged, strict=True) if judged else ((), (), ())
+            own = batch.column("doc_id")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(near_ids, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))],
+                [own, pa.array(values, pa.float64()), pa.array(ids, pa.list_(own.type)), pa.array(found, pa.list_(pa.string()))],
                 names=["doc_id", "score", "neighbours", "terms"],
             )
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    judged = rows.mapInArrow(score, f"doc_id {kind}, score double, neighbours array<long>, terms array<string>")
+    judged = rows.mapInArrow(score, f"doc_id {kind}, score double, neighbours array<{kind}>, terms array<string>")
     return judged.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "neighbours", "terms",
     )
 
 
-def _judge(index: Examples, vector: tuple[tuple[int, int], ...]) -> tuple[float, list[int]]:
+def _judge(index: Examples, vector: tuple[tuple[int, int], ...]) -> tuple[float, list]:
     if not vector:
         return index.blank, []
     near, cosine = index.nearest(vector, NEIGHBOURS)

@@ -4,7 +4,8 @@ Every word of the examples spans the space; document frequencies are counted ove
 sample of labelled rows shows to go with the label (chi-square, over groups of like texts so that copies do not speak
 twice) weigh ``1 + STRESS`` times as much, so that one such word is not drowned in a long text. Examples with the same
 vector are one entry with a count. Entries stand in blocks; for every term and block the index keeps the largest weight,
-so a query scores the blocks of the highest bounds first and then only those whose bound reaches its k-th best. Near
+so a query scores the blocks of the highest bounds first and then only those whose bound reaches its k-th best. Terms of
+more than a tenth of the entries are multiplied out for several queries at once instead, and count in the bounds as they are. Near
 examples vote by distance, and an isotonic curve fitted on leave-one-out votes turns votes into scores.
 
 The sample for word statistics is bounded by ``SAMPLE_ROWS``, the examples by ``PER_LABEL`` of either label (the curve
@@ -23,6 +24,7 @@ import zlib
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ THRESHOLD = 0.3
 MIN_GROUPS, MIN_CHI2, STRESS = 8, 30.0, 15.0
 NEIGHBOURS, BLOCK, FIRST_BLOCKS, NEAR = 15, 64, 4, 0.05
 REMEMBERED = 50_000
+POSTINGS = 200_000  # of the queries scored together
+COMMON, SLACK, DIGITS = 0.1, 1e-9, 12
 WORD = re.compile(r"\w+")
 
 
@@ -94,6 +98,8 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Examples:
     """Block-max inverted index over the distinct example vectors.
 
+    Terms of more than ``COMMON`` of the entries stand in ``tile`` (terms x entries, row ``tile_row`` of the term), not in
+    postings: each would be in almost every block, so that its block maxima could not close any.
     ``cells`` are the (term, block) pairs that hold postings, by term: cell ``c`` of block ``cell_block[c]`` has the
     postings ``cell_start[c]`` up to ``cell_start[c + 1]`` and the largest weight ``cell_max[c]``.
     """
@@ -110,53 +116,88 @@ class Examples:
     cell_start: np.ndarray
     entry: np.ndarray  # of each posting
     weight: np.ndarray
+    tile: np.ndarray
+    tile_row: np.ndarray
     curve: tuple[np.ndarray, np.ndarray]
     blank: float
 
-    def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        get = self.terms.get
-        found = ((get(w), n) for w, n in Counter(words(text)).items())
-        return tuple(sorted((t, n) for t, n in found if t is not None))
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the text's known terms, ascending, and their times in it."""
+        counts = Counter(words(text))
+        at = np.fromiter(map(self.terms.get, counts, repeat(-1)), dtype=np.int64, count=len(counts))
+        times = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+        order = np.argsort(at)[np.count_nonzero(at < 0) :]
+        return at[order], times[order]
 
     def weights(self, vector: tuple[tuple[int, int], ...]) -> np.ndarray:
         return _weights(vector, self.idf)
 
     def nearest(self, vector: tuple[tuple[int, int], ...], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the k nearest, nearest first (ties: earlier entry)."""
-        at = np.asarray([t for t, _ in vector], dtype=np.int64)
+        pairs = np.asarray(vector, dtype=np.int64).reshape(-1, 2)
+        return next(self.nearest_of([(pairs[:, 0], pairs[:, 1])], k))
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for vectors as term and times arrays, together as long as their postings stay few."""
+        postings = self.cell_start[self.term_start]  # first posting of each term
+        some: list[tuple[np.ndarray, np.ndarray]] = []
+        room = POSTINGS
+        for at, times in queries:
+            need = int((postings[at + 1] - postings[at]).sum())
+            if some and need > room:
+                yield from self._together(some, k)
+                some, room = [], POSTINGS
+            some.append((at, times))
+            room -= need + len(self.count)
+        if some:
+            yield from self._together(some, k)
+
+    def _together(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, n_blocks, many = len(self.count), -(-len(self.count) // BLOCK), len(queries)
+        at, times = (np.concatenate([v[i] for v in queries]) for i in (0, 1))
+        query = np.repeat(np.arange(many), [len(v[0]) for v in queries])
+        weight = (1 + np.log(times)) * self.idf[at]
+        weight /= np.sqrt(np.bincount(query, weight * weight, many))[query]
+        # Common terms are multiplied out for all entries; they bound their blocks by what they give at most.
+        common = np.zeros((many, len(self.tile)))
+        in_tile = self.tile_row[at] >= 0
+        common[query[in_tile], self.tile_row[at[in_tile]]] = weight[in_tile]
+        score = np.zeros((many, n_blocks * BLOCK))
+        score[:, :n] = common @ self.tile
+        blocks = score.reshape(many, n_blocks, BLOCK)
         held = self.term_start[at + 1] - self.term_start[at]
-        cells = _ranges(self.term_start[at], held)
-        share = np.repeat(self.weights(vector), held)
-        blocks = self.cell_block[cells]
-        bound = np.bincount(blocks, share * self.cell_max[cells], -(-len(self.count) // BLOCK))
-        by_bound = np.argsort(-bound, kind="stable")
-        open_blocks = np.zeros(len(bound), dtype=bool)
-        open_blocks[by_bound[:FIRST_BLOCKS]] = True
-        near, cosine = self._best(cells, share, open_blocks[blocks], k)
-        if len(bound) > FIRST_BLOCKS:
-            more = (bound > 0) & ~open_blocks
-            if len(near) == k:
-                more &= bound >= cosine[-1] - 1e-9
-            if more.any():
-                also, values = self._best(cells, share, more[blocks], k)
-                near, cosine = np.concatenate([near, also]), np.concatenate([cosine, values])
-                order = np.lexsort((near, -cosine))[:k]
-                near, cosine = near[order], cosine[order]
-        return near, cosine
-
-    def _best(self, cells: np.ndarray, share: np.ndarray, chosen: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best entries of the chosen cells' blocks, scored exactly."""
-        cells, share = cells[chosen], share[chosen]
+        cells, share, query = _ranges(self.term_start[at], held), np.repeat(weight, held), np.repeat(query, held)
+        place = query * n_blocks + self.cell_block[cells]
+        bound = np.bincount(place, share * self.cell_max[cells], many * n_blocks) + blocks.max(axis=2, initial=0).ravel()
+        # The blocks of the highest bounds first, then those whose bound reaches the k-th best of these.
+        opened = np.zeros((many, n_blocks), dtype=bool)
+        by_bound = np.argsort(-bound.reshape(many, n_blocks), axis=1, kind="stable")[:, :FIRST_BLOCKS]
+        np.put_along_axis(opened, by_bound, True, axis=1)
+        score[:, :n] += self._scores(cells, share, query, opened.ravel()[place], many)
+        kth = np.zeros(many)
+        if min(FIRST_BLOCKS, n_blocks) * BLOCK > k:
+            tried = blocks[np.arange(many)[:, None], by_bound].reshape(many, -1)
+            kth = np.partition(tried, -k, axis=1)[:, -k]
+        more = (bound > 0) & ~opened.ravel() & (bound >= np.repeat(kth, n_blocks) - SLACK)
+        if more.any():
+            score[:, :n] += self._scores(cells, share, query, more[place], many)
+        blocks[~(opened | more.reshape(many, n_blocks))] = 0
+        # Rounded, so that the same text is judged alike whatever stands beside it.
+        for own, least in zip(score, kth.tolist(), strict=True):
+            near = np.flatnonzero(own >= max(least - SLACK, SLACK))
+            cosine = np.round(own[near], DIGITS)
+            first = np.lexsort((near, -cosine))[:k]
+            yield near[first], cosine[first]
+
+    def _scores(self, cells: np.ndarray, share: np.ndarray, query: np.ndarray, chosen: np.ndarray, many: int) -> np.ndarray:
+        """Exact cosines (queries x entries) over the chosen cells, 0 elsewhere."""
+        cells = cells[chosen]
         starts = self.cell_start[cells]
         sizes = self.cell_start[cells + 1] - starts
         places = _ranges(starts, sizes)
-        score = np.bincount(self.entry[places], np.repeat(share, sizes) * self.weight[places], len(self.count))
-        near = np.flatnonzero(score)
-        if len(near) > k:
-            least = np.partition(score[near], -k)[-k]
-            near = near[score[near] >= least]
-        near = near[np.lexsort((near, -score[near]))][:k]
-        return near, score[near]
+        slot = np.repeat(query[chosen] * len(self.count), sizes) + self.entry[places]
+        value = np.repeat(share[chosen], sizes) * self.weight[places]
+        return np.bincount(slot, value, many * len(self.count)).reshape(many, -1)
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, own: int = -1, label: int = 0) -> float:
         """Distance-weighted share of toxic rows; ``own`` is an entry that loses one row of this label."""
@@ -198,6 +239,12 @@ def build(rows: list[tuple], terms: list[str], idf: np.ndarray, telling: frozens
     entry = np.repeat(np.arange(len(vectors)), sizes)
     term = np.asarray([t for v in vectors for t, _ in v], dtype=np.int64)
     weight = np.concatenate([_weights(v, idf) for v in vectors]) if vectors else np.zeros(0)
+    common = np.bincount(term, minlength=len(terms)) > COMMON * max(1, len(vectors))
+    tile_row = np.where(common, np.cumsum(common) - 1, -1)
+    tile = np.zeros((int(common.sum()), len(vectors)))
+    in_tile = common[term]
+    tile[tile_row[term[in_tile]], entry[in_tile]] = weight[in_tile]
+    term, entry, weight = term[~in_tile], entry[~in_tile], weight[~in_tile]
     order = np.lexsort((entry, term))
     term, entry, weight = term[order], entry[order], weight[order]
     block = entry // BLOCK
@@ -207,13 +254,13 @@ def build(rows: list[tuple], terms: list[str], idf: np.ndarray, telling: frozens
         np.asarray([len(grouped[v]) for v in vectors], dtype=np.float64),
         np.asarray([sum(y for _, y in grouped[v]) for v in vectors], dtype=np.float64),
         [sorted(name for name, _ in grouped[v])[:3] for v in vectors],
-        np.searchsorted(term[first], np.arange(len(terms) + 1)), block[first].astype(np.int32),
+        np.searchsorted(term[first], np.arange(len(terms) + 1)), block[first],
         np.maximum.reduceat(weight, first) if len(first) else np.zeros(0), np.r_[first, len(term)],
-        entry.astype(np.int32), weight, (np.zeros(0), np.zeros(0)), blank,
+        entry, weight, tile, tile_row, (np.zeros(0), np.zeros(0)), blank,
     )
     votes, marks, stands_for = [], [], []
-    for place, v in enumerate(vectors):
-        near, cosine = index.nearest(v, NEIGHBOURS)
+    queries = [tuple(np.asarray(v, dtype=np.int64).T) for v in vectors]
+    for place, (near, cosine) in enumerate(index.nearest_of(queries, NEIGHBOURS)):
         for label in (0, 1):
             times = index.bad[place] if label else index.count[place] - index.bad[place]
             if times:
@@ -294,19 +341,23 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     index = fit(docs, labels, key, text)
     names = list(index.terms)
 
+    telling = np.zeros(len(names) + 1, dtype=bool)
+    telling[list(index.telling)] = True
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: OrderedDict[bytes, tuple[float, list, list[str]]] = OrderedDict()
         for batch in slices(batches):
-            judged = []
-            for body in batch.column("_text").to_pylist():
-                digest = hashlib.blake2b((body or "").encode(), digest_size=16).digest()
-                if digest not in memory:
-                    if len(memory) >= REMEMBERED:
-                        memory.popitem(last=False)
-                    vector = index.vector(body)
-                    memory[digest] = (*_judge(index, vector), [names[t] for t, _ in vector if t in index.telling])
-                judged.append(memory[digest])
-            values, ids, found = zip(*judged, strict=True) if judged else ((), (), ())
+            texts = batch.column("_text").to_pylist()
+            digests = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in texts]
+            judged = {d: memory[d] for d in digests if d in memory}
+            new = {d: t for d, t in zip(digests, texts, strict=True) if d not in judged}
+            vectors = [index.vector(t) for t in new.values()]
+            for digest, vector, near in zip(new, vectors, index.nearest_of(vectors, NEIGHBOURS), strict=True):
+                judged[digest] = (*_judge(index, *near), [names[t] for t in vector[0][telling[vector[0]]].tolist()])
+                memory[digest] = judged[digest]
+            while len(memory) > REMEMBERED:
+                memory.popitem(last=False)
+            values, ids, found = zip(*[judged[d] for d in digests], strict=True) if texts else ((), (), ())
             own = batch.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [own, pa.array(values, pa.float64()), pa.array(ids, pa.list_(own.type)), pa.array(found, pa.list_(pa.string()))],
@@ -322,10 +373,7 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     )
 
 
-def _judge(index: Examples, vector: tuple[tuple[int, int], ...]) -> tuple[float, list]:
-    if not vector:
-        return index.blank, []
-    near, cosine = index.nearest(vector, NEIGHBOURS)
+def _judge(index: Examples, near: np.ndarray, cosine: np.ndarray) -> tuple[float, list]:
     if not len(near):
         return index.blank, []
     value = float(np.interp(index.vote(near, cosine), *index.curve))

@@ -39,6 +39,14 @@ def forget(df: DataFrame) -> None:
         folder.getFileSystem(hadoop).delete(folder, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def is_held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 2 when divided by 4; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == HELD_OUT_REMAINDER, F.lit(False))

@@ -8,7 +8,8 @@ within its threshold, so probing each part's ball against an index of part value
 index inside a task, where distances are verified in blocks; only a spanning forest of the links leaves it.
 
 Defined results: null, empty and word-less texts have fingerprint zero and link like any other; a null id takes part
-but is never a component's id; repeated rows fold; an empty table gives an empty result; texts are read whole.
+but is never a component's id; repeated rows fold; an empty table gives an empty result; texts are read whole; further
+columns, whatever their names, are kept by ``one_of_each`` and ignored otherwise; ids may be of any type that has an order.
 """
 
 from __future__ import annotations
@@ -282,5 +283,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     return rows.join(whole, "fp").select("doc_id", "mark", "fp", "component", "component_id")
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component with all its columns: the smallest id (null last), then the smallest text hash."""
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    groups = near_duplicates(whole)
+    ident = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    heads = groups.groupBy("component").agg(F.min(ident).alias("head")).select(
+        F.col("head.doc_id").alias("head_id"), F.col("head.mark").alias("head_mark")
+    )
+    rows = whole.withColumn("mark", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("mark") == F.col("head_mark"))
+    return rows.join(heads, same, "left_semi").dropDuplicates(["doc_id", "mark"]).select("doc.*")
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

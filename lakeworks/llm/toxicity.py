@@ -5,8 +5,8 @@ sample of labelled rows shows to go with the label (chi-square, over groups of l
 twice) weigh ``1 + STRESS`` times as much, so that one such word is not drowned in a long text. Examples with the same
 vector are one entry with a count. Entries stand in blocks; for every term and block the index keeps the largest weight,
 so a query scores the blocks of the highest bounds first and then only those whose bound reaches its k-th best. Terms of
-more than a tenth of the entries are multiplied out for several queries at once instead, and count in the bounds as they are. Near
-examples vote by distance, and an isotonic curve fitted on leave-one-out votes turns votes into scores.
+more than a tenth of the entries are multiplied out for several queries at once instead, and count in the bounds as they
+are. Near examples vote by distance, and an isotonic curve fitted on leave-one-out votes turns votes into scores.
 
 The sample for word statistics is bounded by ``SAMPLE_ROWS``, the examples by ``PER_LABEL`` of either label (the curve
 weighs them back to the sample's shares); frequencies and scores cover every text whole. Defined results: null and empty
@@ -298,7 +298,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         seen, n = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for batch in slices(batches):
             for body in batch.column(0).to_pylist():
-                seen[[i for i in map(place.get, set(words(body))) if i is not None]] += 1
+                own = set(words(body))  # unknown words fall into the last place
+                seen[np.fromiter(map(place.get, own, repeat(-1)), dtype=np.int64, count=len(own))] += 1
                 n += 1
         seen[-1] = n
         held = np.flatnonzero(seen)

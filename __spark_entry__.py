@@ -178,7 +178,7 @@ def _on_fact(build: Callable[[DataFrame], DataFrame], digits: dict[str, int] | N
 
 
 def _pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.over_given_tables(spark, sf_dir).stored("source", "pitches")
+    return medallion.pitches_of_given_tables(spark, sf_dir)
 
 
 def _on_pitches(build: Callable[[DataFrame], DataFrame], digits: dict[str, int] | None = None) -> Query:

@@ -20,7 +20,7 @@ FIXED_SCHEMA = {"customers", "exchange_rates"}
 
 WRITERS = 5
 
-_runs: dict[tuple[str, str], "Medallion"] = {}
+_runs: dict[tuple[str, str], tuple["Medallion", set[str]]] = {}
 _lock = Lock()
 
 
@@ -102,19 +102,38 @@ class Medallion:
         self.cube()
 
 
-def over_given_tables(spark: SparkSession, sf_dir: str) -> Medallion:
-    """The run over the given tables up to the stored fact, once per application and folder."""
+def _settled(spark: SparkSession, sf_dir: str, part: str, build: Callable[["Medallion"], object]) -> Medallion:
+    """The run over the given tables with one part of it built, once per application and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _runs:
             tag = f"sf{len(_runs)}"
             own = re.sub(r"\W", "_", spark.sparkContext.applicationId)  # databases are shared between applications
-            run = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_{own}_")
-            commerce = {name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE}
-            run.land({**commerce, "pitches": views.view(spark, sf_dir, "pitches")})
-            run.bronze()
-            run.silver()
-            run.dimensions()
-            run.fact()
-            _runs[key] = run
-        return _runs[key]
+            _runs[key] = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_{own}_"), set()
+        run, built = _runs[key]
+        if part not in built:
+            build(run)
+            built.add(part)
+        return run
+
+
+def pitches_of_given_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed pitches: all that the study reads of the given tables."""
+
+    def build(run: Medallion) -> None:
+        run.land({"pitches": views.view(spark, sf_dir, "pitches")})
+
+    return _settled(spark, sf_dir, "pitches", build).stored("source", "pitches")
+
+
+def over_given_tables(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The commerce run over the given tables up to the stored fact."""
+
+    def build(run: Medallion) -> None:
+        run.land({name: views.bronze(spark, sf_dir, name) for name in views.COMMERCE})
+        run.bronze()
+        run.silver()
+        run.dimensions()
+        run.fact()
+
+    return _settled(spark, sf_dir, "commerce", build)

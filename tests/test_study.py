@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeworks.operators import distribution, inference, profile, ranks
+from lakeworks.plans import medallion
 from lakeworks.plans import pitches as study
 from lakeworks.sources import views
 
@@ -23,6 +24,15 @@ def limit(request, monkeypatch):
     monkeypatch.setattr(ranks, "IN_MEMORY_BYTES", 1 << 60 if request.param == "in memory" else -1)
 
 
+def test_study_builds_no_commerce_layer(spark, small):
+    """The pitches are landed alone; the commerce layers come when a commerce query asks for them."""
+    rows = medallion.pitches_of_given_tables(spark, f"{small}/")  # a run of its own
+    assert rows.count() == views.view(spark, small, "pitches").count()
+    run, built = medallion._runs[spark.sparkContext.applicationId, f"{small}/"]
+    assert built == {"pitches"}
+    assert [t.name for layer in run.layers.values() for t in spark.catalog.listTables(layer) if not t.isTemporary] == ["pitches"]
+
+
 def test_quantiles_match_numpy(spark, limit):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.lognormal(size=700), np.full(400, 1.5), rng.normal(size=33)])

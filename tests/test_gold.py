@@ -201,6 +201,27 @@ def test_cube_equals_plain_cube_even_with_repeated_orders(spark):
     assert plain.select(*ours.columns).exceptAll(ours).count() == 0
 
 
+def test_cube_rows_multiply_behind_their_last_shuffle(spark, monkeypatch):
+    """One product fills most partitions of its own, and the rows of the others are shuffled by product before they are rolled up."""
+    monkeypatch.setattr(cube, "LEAST_ROWS", 50)
+    monkeypatch.setattr(joins, "LOOKED_AT", 1)
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 17 > 0, (F.col("id") % 350).cast("string")).alias("order_id"),
+        F.when(F.col("id") % 19 > 0, F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 40).cast("string"))).alias("product_id"),
+        F.element_at(F.array(F.lit("2023-12-31"), F.lit("2024-01-01")), (F.col("id") % 2 + 1).cast("int")).alias("order_date"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("L"), F.col("id") % 3)).alias("country"),
+        F.lit("web").alias("channel"),
+        F.when(F.col("id") % 13 > 0, F.col("id") * F.lit(d("0.37"))).cast("decimal(27,2)").alias("revenue_usd"),
+    )
+    plain, ours = plain_cube(rows), cube.cube_numbers(rows)
+    assert ours.count() == plain.count()
+    assert plain.select(*ours.columns).exceptAll(ours).count() == 0
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    roll_ups = [i for i, line in enumerate(plan.splitlines()) if "Generate explode" in line]
+    last_shuffles = [line for line in plan.splitlines()[: roll_ups[0]] if "Exchange hashpartitioning" in line]
+    assert not last_shuffles and "Exchange hashpartitioning(product_id" in plan
+
+
 def test_cube_label_collision_is_kept_and_told_apart(spark):
     fact = spark.createDataFrame([("o1", None, "p", "2024-01-01", "completed", None, "web", None, None, None, d("5"))], FACT)
     rows = cube.cube_sales(fact, with_grouping_id=True).filter(

@@ -112,14 +112,14 @@ def file_positions(scan: DataFrame, name: str = "position") -> DataFrame:
     """Number the rows of a Parquet scan from 0 as they stand in its files, files in the order of their paths.
 
     The place within a file comes with the scan and does not change when a task runs again. One aggregate counts the rows
-    of each file, and the rows before a file are added by a table of one row per file: no row is shuffled.
+    of each file, and the rows before a file are added by a broadcast table of one row per file: no row is shuffled.
     """
     place, path = F.col("_metadata.row_index"), F.col("_metadata.file_path")
     placed = scan.select("*", path.alias("_file"), place.alias("_place"))
     counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)  # one row per file
     starts = counts.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    return placed.join(starts, "_file").withColumn(name, F.col("_start") + F.col("_place")).drop("_file", "_place", "_start")
+    return placed.join(F.broadcast(starts), "_file").withColumn(name, F.col("_start") + F.col("_place")).drop("_file", "_place", "_start")
 
 
 def split_by_file_position(scan: DataFrame, fraction: float = 0.7) -> DataFrame:

@@ -234,6 +234,20 @@ def test_split_by_file_position_needs_no_key(spark, tmp_path):
     assert "hashpartitioning(place" not in marked._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_of_one_file_do_not_meet_in_one_task(spark, tmp_path):
+    """However large the inputs are guessed to be, only the table of files moves."""
+    spark.range(100).write.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = ranks.file_positions(spark.read.parquet(str(tmp_path / "rows")))
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert numbered.where("position >= 0").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+
 def test_null_series_are_listed(spark):
     rows = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 90.0), ("a", 5.0), ("a", None)], "s string, x double")
     bins = {(r.s, r.bin): r.n_rows for r in distribution.histogram(rows, ["s"], "x", 2).collect()}

@@ -5,8 +5,9 @@ from __future__ import annotations
 import sys
 from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -19,6 +20,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK_SIZE = 700
 CHUNK_OVERLAP = 100
 
+# Documents cut at a time, so that texts and chunks of a whole Arrow batch never stand in memory as Python objects.
+SLICE_ROWS = 64
+
 # Break points from coarse to fine; the empty one cuts between characters.
 SEPARATORS = ["\n\n", "\n", " ", ""]
 
@@ -95,7 +99,7 @@ def recursive_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
         if span:
             yield span
 
-    for piece in (*_pieces(text, 0, len(text), size, SEPARATORS), None):
+    for piece in chain(_pieces(text, 0, len(text), size, SEPARATORS), [None]):
         if piece is not None and piece[1] - piece[0] > size:
             yield from settled()
             window.clear()
@@ -129,8 +133,8 @@ def split_documents(
     """One row per recursive chunk; every other column is carried to each of its chunks.
 
     ``located`` adds the characters ``start`` to ``end`` - 1 of the text that the chunk holds. The packing keeps state along
-    a text, which no built-in expression does, so this is the one stage that runs in Python; it streams Arrow batches,
-    without a shuffle. It only finds the bounds; texts are cut from them row by row.
+    a text, which no built-in expression does, so this is the one stage that runs in Python; it streams Arrow batches a few
+    rows at a time, without a shuffle. It only finds the bounds; texts are cut from them row by row.
     """
     carried = [f for f in docs.schema.fields if f.name != text]
     numbers = [T.StructField(c, T.LongType()) for c in ("start", "end")] if located else []
@@ -138,21 +142,24 @@ def split_documents(
         [*carried, T.StructField("chunk_no", T.IntegerType()), *numbers, T.StructField("chunk_text", T.StringType())]
     )
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch.pop(text).to_list()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, batch.num_rows, SLICE_ROWS))
+        for batch in few:
+            texts = batch.column(text).to_pylist()
             spans = [list(recursive_spans(t, size, overlap)) if t else [] for t in texts]
-            rows = batch.loc[batch.index.repeat([len(s) for s in spans])].reset_index(drop=True)
-            rows["chunk_no"] = [i for s in spans for i in range(len(s))]
+            rows = pa.array([row for row, own in enumerate(spans) for _ in own], pa.int64())
+            if not len(rows):
+                continue
+            columns = {f.name: batch.column(f.name).take(rows) for f in carried}
+            columns["chunk_no"] = pa.array([i for own in spans for i in range(len(own))], pa.int32())
             if located:
-                rows["start"] = [lo for s in spans for lo, _ in s]
-                rows["end"] = [hi for s in spans for _, hi in s]
-            pieces = [t[lo:hi] for t, s in zip(texts, spans, strict=True) for lo, hi in s]
-            rows["chunk_text"] = pd.Series(pieces, dtype=object)
-            if pieces:
-                yield rows.astype({"chunk_no": "int32"})
-
-    return docs.select(*[f.name for f in carried], text).mapInPandas(cut, schema)
+                columns["start"] = pa.array([lo for own in spans for lo, _ in own], pa.int64())
+                columns["end"] = pa.array([hi for own in spans for _, hi in own], pa.int64())
+            pieces = [t[lo:hi] for t, own in zip(texts, spans, strict=True) for lo, hi in own]
+            columns["chunk_text"] = pa.array(pieces, batch.schema.field(text).type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return docs.select(*[f.name for f in carried], text).mapInArrow(cut, schema)
 
 
 def chunk_coverage(docs: DataFrame, chunks: DataFrame, key: str, text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,21 @@ def test_a_long_text_without_breaks_is_covered_whole(spark):
     assert {r.doc_id for r in rows} == {1} and sum(len(r.chunk_text) for r in rows) - 100 * (len(rows) - 1) == 50_000
 
 
+def test_documents_are_cut_a_few_at_a_time(spark, monkeypatch):
+    """A large Arrow batch leaves as many small ones, with nulls and types of the other columns as they came."""
+    docs = spark.createDataFrame([], "n int, page_content string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, cut, schema: cut)
+    cut = chunking.split_documents(docs)
+    texts = [None if i % 7 == 0 else "" if i % 7 == 1 else f"word{i} " * 300 for i in range(500)]
+    numbers = [None if i % 3 == 0 else i for i in range(500)]
+    whole = pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(texts)], names=["n", "page_content"])
+    parts = list(cut(iter([whole])))
+    expected = [(n, i, c) for n, t in zip(numbers, texts) for i, c in enumerate(chunking.recursive_chunks(t or ""))]
+    assert [tuple(r.values()) for p in parts for r in p.to_pylist()] == expected
+    most = max(len(list(chunking.recursive_chunks(t or ""))) for t in texts)
+    assert max(p.num_rows for p in parts) <= 64 * most and parts[0].schema.field("n").type == pa.int32()
+
+
 def test_article_records(spark):
     df = spark.createDataFrame([(7, "t", ["a", "b c"]), (8, None, None), (9, "e", [])], "pmid long, title string, abstract array<string>")
     rows = retrieval.article_documents(df).orderBy("pmid").collect()

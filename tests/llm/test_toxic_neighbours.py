@@ -61,3 +61,12 @@ def test_unopened_blocks_hold_no_nearer_entry():
         near, cosine = index.nearest(v, 15)
         exact = dense @ query
         assert np.allclose(cosine, np.sort(exact)[::-1][:15]) and np.allclose(exact[near], cosine)
+
+
+def test_words_are_what_the_pattern_finds_and_come_by_bytes():
+    """Letters, marks, digits and blanks of many scripts; the pattern itself is not run over the text."""
+    odd = "Grüße_1 don't\x85a b ćd İstanbul x中文 —\x1fend​z ½ ①"
+    for text in (odd, odd.encode("ascii", "ignore").decode(), "", " ", "—"):
+        assert toxicity.words(text) == toxicity.WORD.findall(text.lower())
+    assert toxicity.words(None) == []
+    assert toxicity.words.__code__.co_names.count("findall") == 0

@@ -46,3 +46,21 @@ def test_copies_of_short_lines_and_of_scripts_without_blanks_go(spark):
     got = {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(rows).collect()}
     assert (got[2], got[4], got[6]) == (["of two", "end two"], ["four"], ["six", "other"])
     assert all(got[i] == x for i, x in docs if i not in (2, 4, 6))  # a frequent short line alone stays
+
+
+def test_lines_left_by_many_holders_are_tried_with_each_of_them(spark):
+    others = [line(i) for i in range(20)]
+    docs = [(i, [*others[: 2 * i], "the telling line that has moved alone", *others[2 * i :]]) for i in range(8)]
+    docs.append((8, docs[7][1]))  # what seven holders do not take goes by the eighth
+    rows = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(rows).collect()}
+    assert got[0] == docs[0][1] and got[8] == [""]
+    assert all(got[i] == ["the telling line that has moved alone"] for i in range(1, 8))
+
+
+def test_a_rare_short_line_left_by_one_holder_goes_by_the_next(spark):
+    block = [line(i) for i in range(4)]
+    docs = [(0, ["a = compute_rare(x)", "own", *block])] + [(i, [*block, f"own {i}", "a = compute_rare(x)", f"end {i}"]) for i in (1, 2)]
+    rows = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(rows).collect()}
+    assert got == {0: docs[0][1], 1: ["own 1", "a = compute_rare(x)", "end 1"], 2: ["own 2", "end 2"]}

@@ -32,6 +32,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= BROADCAST_BYTES
 
 
+def counted_small(df: DataFrame) -> bool:
+    """Whether a settled frame of fixed-width columns and short keys fits a broadcast, by counted rows."""
+    return df.count() * df._jdf.schema().defaultSize() <= BROADCAST_BYTES
+
+
 class HotKeys:
     """The keys of a frame that hold more than one partition's share of its rows, as small tables.
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions.quality import iso_date
 from lakeworks.operators.asof import as_of_join
-from lakeworks.operators.joins import SLOT, HotKeys, fits_broadcast, skew_left_join, with_row_slot
+from lakeworks.operators.joins import SLOT, HotKeys, counted_small, fits_broadcast, skew_left_join, with_row_slot
+from lakeworks.session import durable
 
 COMPLETED = "completed"
 
@@ -58,14 +59,19 @@ def fact_orders(
 
     Everything is kept: items without an order, product or rate have nulls, several rates of a
     currency and several variants of a customer repeat the row. Conversion follows the product's
-    currency. Two choices keep the shuffles of the wide item rows down to two (order, product):
-    the customer join needs only the number of variants and hangs on the order, so it is made on the
-    orders; and the rates, which multiply rows, come last, as a broadcast of checked size.
+    currency. Three choices keep the shuffles of the item rows down to two (product, order) and narrow: the
+    customer join needs only the number of variants and hangs on the order, so it is made on the orders, with
+    the customers that repeat; the order's columns come with the second shuffle, which leaves the lines of an
+    order side by side; and the rates, which multiply rows, come last, as a broadcast of checked size.
     """
     if rate_policy not in RATE_POLICIES:
         raise ValueError(f"rate_policy is one of {RATE_POLICIES}, not {rate_policy}")
     item_keys, order_keys = HotKeys(items, "order_id", "product_id"), HotKeys(orders, "customer_id", "order_id")
-    variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants"))
+    # A customer that does not repeat leaves the order as it is, known or not.
+    variants = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
+    if not (few_variants := fits_broadcast(variants)):
+        variants = durable(variants)
+        few_variants = counted_small(variants)
     placed = orders.select(
         "order_id",
         "customer_id",
@@ -74,41 +80,47 @@ def fact_orders(
         F.col("country_code").alias("country"),
         "channel",
     )
-    order_side = skew_left_join(
-        with_row_slot(placed), variants, "customer_id", hot_left=order_keys, unique_right=True
-    ).withColumnRenamed(SLOT, "_order_slot")
-    lines = items.select("order_id", "product_id", "quantity", "unit_price")
-    # One row per order row, with fewer columns: the stored orders bound its size.
-    ordered = skew_left_join(
-        with_row_slot(lines),
-        order_side,
-        "order_id",
-        hot_left=item_keys,
-        hot_right=order_keys,
-        sized_by=orders,
-        right_slot="_order_slot",
-    )
+    order_side = with_row_slot(placed)
+    if few_variants:
+        order_side = order_side.join(F.broadcast(variants), "customer_id", "left")
+    else:
+        order_side = skew_left_join(order_side, variants, "customer_id", hot_left=order_keys, unique_right=True, broadcast=False)
+    order_side = order_side.withColumnRenamed(SLOT, "_order_slot")
+    lines = with_row_slot(items.select("order_id", "product_id", "quantity", "unit_price"))
+
+    def with_orders(left: DataFrame) -> DataFrame:
+        # One row per order row, with fewer columns: the stored orders bound its size.
+        return skew_left_join(
+            left,
+            order_side,
+            "order_id",
+            hot_left=item_keys,
+            hot_right=order_keys,
+            sized_by=orders,
+            right_slot="_order_slot",
+        )
+
+    def with_products(left: DataFrame, right: DataFrame, right_slot: str | None = None) -> DataFrame:
+        hot_right = HotKeys(products, "product_id")
+        return skew_left_join(left, right, "product_id", hot_left=item_keys, hot_right=hot_right, right_slot=right_slot)
+
     priced = products.select("product_id", "currency")
     as_of = rate_policy == "as_of"
     per_currency = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd")
     few_rates = as_of or fits_broadcast(per_currency)
-    if not few_rates:
-        # Few currencies share many rates: pair them with the products, not with the wider item rows.
+    if few_rates:
+        # The currency is one narrow column and an order six: the rows shuffle twice before they are wide.
+        joined = with_orders(with_products(lines, priced))
+    else:
+        # Few currencies share many rates: pair them with the products, not with the wider item rows, and multiply last.
         priced = skew_left_join(with_row_slot(priced), per_currency, "currency").withColumnRenamed(SLOT, "_product_slot")
-    with_product = skew_left_join(
-        ordered,
-        priced,
-        "product_id",
-        hot_left=item_keys,
-        hot_right=HotKeys(products, "product_id"),
-        right_slot=None if few_rates else "_product_slot",
-    )
+        joined = with_products(with_orders(lines), priced, "_product_slot")
     if as_of:
         dated = rates.select(F.col("currency_code").alias("currency"), "exchange_rate_to_usd", "effective_date")
         days = (iso_date(F.col(name)) for name in ("order_date", "effective_date"))
-        with_rate = as_of_join(with_product, dated, "currency", *days, ["exchange_rate_to_usd"])
+        with_rate = as_of_join(joined, dated, "currency", *days, ["exchange_rate_to_usd"])
     else:
-        with_rate = with_product.join(F.broadcast(per_currency), "currency", "left") if few_rates else with_product
+        with_rate = joined.join(F.broadcast(per_currency), "currency", "left") if few_rates else joined
     usd = F.col("unit_price") * F.col("exchange_rate_to_usd")
     line = F.col("quantity") * F.col("unit_price") * F.col("exchange_rate_to_usd")
     return _repeat(with_rate, F.coalesce("variants", F.lit(1))).select(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeworks.plans import cube, gold, kpis
 from lakeworks.plans.silver import SILVER, SOURCE_TYPES
-from lakeworks.session import work_folder
+from lakeworks.session import shuffles_freed, work_folder
 from lakeworks.sources import lakehouse, views
 
 # Two silver tables keep their schema on rewrite, the others may change it.
@@ -112,7 +112,8 @@ def _settled(spark: SparkSession, sf_dir: str, part: str, build: Callable[["Meda
             _runs[key] = Medallion(spark, f"{work_folder(spark)}/{tag}", f"{tag}_{own}_"), set()
         run, built = _runs[key]
         if part not in built:
-            build(run)
+            with shuffles_freed(spark):  # every layer is stored
+                build(run)
             built.add(part)
         return run
 

@@ -1,3 +1,4 @@
+import time
 from decimal import Decimal
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.operators import joins
 from lakeworks.plans import cube, gold, kpis
+from lakeworks.session import durable
 
 ITEMS = "order_item_id string, order_id string, product_id string, quantity decimal(9,2), unit_price decimal(12,2)"
 ORDERS = "order_id string, customer_id string, order_date string, standard_status string, country_code string, channel string"
@@ -164,6 +166,32 @@ def test_date_dimension_survives_unreadable_text(spark, tables):
     assert sorted(map(tuple, rows), key=str) == sorted([(None, None, None, None), (rows[0].date or rows[1].date, 2024, 1, 2)], key=str)
 
 
+def test_item_rows_meet_products_before_they_are_wide(spark, tables, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    dated = tables["rates"].withColumn("effective_date", F.lit("2024-01-01"))
+    fact = gold.fact_orders(**{**tables, "rates": dated}, rate_policy="as_of")
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.index("Exchange hashpartitioning(order_id") < plan.index("Exchange hashpartitioning(product_id")
+    assert "hashpartitioning(customer_id" in plan  # nothing fits a broadcast here
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 400)  # few customers repeat, whatever the tables hold
+    plan = gold.fact_orders(**{**tables, "rates": dated}, rate_policy="as_of")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" not in plan and "hashpartitioning(order_id" in plan
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {x for x in disk.getAllFiles().mkString(",").split(",") if "shuffle_" in x}
+
+    before = files()
+    kept = durable(spark.range(1000).groupBy(F.col("id") % 50).count())
+    for _ in range(50):  # they are deleted in the background
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and kept.count() == 50
+
+
 def test_dimensions_drop_only_equal_rows(spark, tables):
     customers = tables["customers"]
     assert gold.dim_customers(customers.union(customers)).count() == 3

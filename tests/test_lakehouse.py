@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,12 @@ def test_overwrite_may_change_the_schema_or_refuse(spark, run):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_stored_tables_are_compressed_well(spark, run):
+    for layer, name in (("source", "orders"), ("bronze", "orders_bronze"), ("silver", "silver_customers"), ("gold", "fact_orders")):
+        files = [f.removeprefix("file://") for f in run.stored(layer, name).inputFiles()]
+        assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
 def test_namespace_can_be_made_current(spark, tmp_path):
     lakehouse.create_namespace(spark, "t_current", str(tmp_path), use=True)
     assert spark.catalog.currentDatabase() == "t_current"

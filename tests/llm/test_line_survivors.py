@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from lakeworks.llm import linededup
 
 
@@ -64,3 +65,13 @@ def test_a_rare_short_line_left_by_one_holder_goes_by_the_next(spark):
     rows = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs], "doc_id long, text string")
     got = {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(rows).collect()}
     assert got == {0: docs[0][1], 1: ["own 1", "a = compute_rare(x)", "end 1"], 2: ["own 2", "end 2"]}
+
+
+def test_the_pipeline_drops_what_the_last_holder_takes(spark):
+    others = [line(i) for i in range(20)]
+    docs = [(i, "\n".join([*others[: 2 * i], "the telling line that has moved alone", *others[2 * i :]])) for i in range(8)]
+    docs.append((8, docs[7][1]))
+    rows = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: r["n_chars"] for r in corpus_pipeline.without_repeated_lines(spark, rows, "").collect()}
+    alone = len("the telling line that has moved alone")
+    assert kept == {0: len(docs[0][1]), **dict.fromkeys(range(1, 8), alone)}
